@@ -23,7 +23,7 @@ BUCKETS = 1 << 16
 #: Labelled documents that make up the target at most: beyond it, those whose hashed id falls into a share of it.
 TRUSTED_IDS = 200_000
 #: Mean log ratio (natural) below which a document is rejected.
-THRESHOLD = -0.5
+THRESHOLD = -0.2
 #: Added to each bucket, over the buckets' number: the weight of what was never seen.
 SMOOTH = 1.0
 #: Least words; share in percent of words in repeated windows of ``WINDOW`` words above which a text is rejected.
