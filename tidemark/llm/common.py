@@ -19,7 +19,7 @@ ALNUM_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _LOWER_TABLE = {ord(a): b for a, b in zip(UPPER, LOWER, strict=True)}
 #: Bytes of text that one slice of an Arrow batch may hold while Python objects exist for it.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def lower_ascii(text: str) -> str:

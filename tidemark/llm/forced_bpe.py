@@ -24,7 +24,7 @@ from tidemark.llm.fragments import WHITE
 SCHEMA = "doc_id long,n_tokens long,ids_sha256 string,decoded_sha256 string"
 _IDS = "doc_id long,ids array<long>,decoded string"
 #: Pieces and fragments that a worker keeps, and the longest that it keeps, in characters.
-KEPT, KEPT_LENGTH = 300_000, 64
+KEPT, KEPT_LENGTH = 150_000, 64
 PIECE = re.compile(f"[^{WHITE}]+")
 
 

@@ -17,7 +17,7 @@ import numpy as np
 WHITE = "\t-\r \x85\xa0  -     　"
 FRAGMENT = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
 #: Fragments that a worker keeps, and the longest that it keeps, in characters.
-KEPT_FRAGMENTS, KEPT_LENGTH = 400_000, 64
+KEPT_FRAGMENTS, KEPT_LENGTH = 200_000, 64
 #: UTF-8 bytes in one call of the library.
 BATCH_BYTES = 1 << 18
 

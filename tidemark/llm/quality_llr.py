@@ -32,7 +32,7 @@ SYMBOLS = "#*$%&|<>"
 SCHEMA = "doc_id long,n_words long,word_chars long,n_symbols long,n_dup_lines long,n_repeat_words long,base_failed boolean,kept boolean,llr double"
 _COUNTS = "bucket int,raw long,target long"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-_KEPT_WORDS = 500_000
+_KEPT_WORDS = 150_000
 _hashes: dict[str, int] = {}
 
 
