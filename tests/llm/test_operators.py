@@ -313,4 +313,7 @@ def test_lattice_sums_all_segmentations():
         assert math.isclose(walk.forward(w), math.log(every(lattice_lm.MARK + w)), rel_tol=1e-9)
         counts = [0.0] * len(walk.lp)
         walk.expect(w, 1.0, counts)
+        if all(c in walk.ids for c in w):  # the pieces cover each character once
+            names = {i: p for p, i in walk.ids.items()}
+            assert math.isclose(sum(x * len(names[i]) for i, x in enumerate(counts) if x), len(w) + 1)
         assert sum(counts) > 0
