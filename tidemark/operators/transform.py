@@ -20,9 +20,9 @@ def _typed(text: Column, rule, date) -> Column:
     return text
 
 
-def feed_transform(feed: DataFrame, strict: bool = True, keep_changed: bool = True) -> DataFrame:
+def feed_transform(feed: DataFrame, strict: bool = True, keep_changed: bool = True, extra: tuple[str, ...] = ()) -> DataFrame:
     """Feed fields to the columns that a feed load writes, absent fields as nulls, dimension ids null; an integer
-    key and dates that do not parse raise. ``changed`` (the row's change stamp) is added for last-wins."""
+    key and dates that do not parse raise. ``changed`` (the row's change stamp) is added for last-wins, and ``extra`` columns stay."""
     there = set(feed.columns)
     out = []
     for name, field, _, rule in COLUMNS:
@@ -39,7 +39,7 @@ def feed_transform(feed: DataFrame, strict: bool = True, keep_changed: bool = Tr
     out += [F.lit(None).cast("int").alias(i) for i in IDS]
     if keep_changed and CHANGED in there:
         out.append(expr.parse_iso(F.col(f"`{CHANGED}`"), strict).alias("changed"))
-    return feed.select(*out)
+    return feed.select(*out, *extra)
 
 
 def normalize_headers(df: DataFrame) -> DataFrame:
