@@ -1,8 +1,9 @@
 """Whole texts through a byte-level BPE of the tokenizers library, by fragments that are cut at safe boundaries.
 
 A byte-level pre-tokenizer matches ``'s|...| ?letters| ?digits| ?others|\\s+(?!\\S)|\\s+``. No match joins
-non-space characters across white space, save that one space may start a match. So ``FRAGMENT`` ends where a
-match of the pre-tokenizer ends, whatever follows, and the ids of a text are those of its fragments in order.
+non-space characters across white space, save that one space may start a match, and none that holds a letter goes
+on to a comma or full stop. So ``FRAGMENT`` ends where a match of the pre-tokenizer ends, whatever follows, and the
+ids of a text are those of its fragments in order.
 Fragments recur, so each worker keeps the ids of those that it has seen, up to a bound.
 """
 
@@ -15,9 +16,11 @@ import numpy as np
 
 #: White space by Unicode, which Python's ``\\s`` extends by four control characters.
 WHITE = "\t-\r \x85\xa0  -     　"
-FRAGMENT = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
+#: Letters only: a word of these before a comma, a full stop, white space or the end is a fragment of its own.
+LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+FRAGMENT = re.compile(f" ?[{LETTERS}]++(?![^{WHITE}.,])| ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
 #: Fragments that a worker keeps, and the longest that it keeps, in characters.
-KEPT_FRAGMENTS, KEPT_LENGTH = 200_000, 64
+KEPT_FRAGMENTS, KEPT_LENGTH = 450_000, 64
 #: UTF-8 bytes in one call of the library.
 BATCH_BYTES = 1 << 18
 
