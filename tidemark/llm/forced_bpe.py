@@ -13,7 +13,10 @@ import hashlib
 import heapq
 import json
 import re
+from array import array
 from functools import lru_cache
+from itertools import chain, filterfalse
+from operator import add
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -25,6 +28,9 @@ SCHEMA = "doc_id long,n_tokens long,ids_sha256 string,decoded_sha256 string"
 _IDS = "doc_id long,ids array<long>,decoded string"
 #: Pieces and fragments that a worker keeps, and the longest that it keeps, in characters.
 KEPT, KEPT_LENGTH = 150_000, 64
+#: Pieces normalised in one string; symbols up to which a fragment's pairs are scanned rather than kept in a heap.
+LEARNED, SCANNED = 1024, 24
+_NEVER = (1 << 60, "")
 PIECE = re.compile(f"[^{WHITE}]+")
 
 
@@ -54,15 +60,35 @@ class ForcedBPE:
         names = {i: t for t, i in self.vocab.items()} | {i: t for t, i in added.items()}
         self.names = [names.get(i, "") for i in range(max(names) + 1)]
         self.pieces: dict[str, bytes] = {}
-        self.fragments: dict[tuple[str, bool], list[int]] = {}
+        self.inner: dict[str, list[int]] = {}
+        self.ends: dict[str, list[int]] = {}  # of fragments at a word's end
 
     def cut(self, word: str) -> list[str]:
         """The word's fragments: a cut lies between two bytes that no token holds side by side."""
-        at = [i for i in range(1, len(word)) if word[i - 1 : i + 1] not in self.inside]
+        held = list(map(self.inside.__contains__, map(add, word, word[1:])))
+        if all(held):
+            return [word]
+        at = [i for i, x in enumerate(held, 1) if not x]
         return [word[a:b] for a, b in zip([0, *at], [*at, len(word)], strict=True)]
 
     def merge(self, symbols: list[str]) -> list[str]:
-        """Merge the pair of lowest rank, leftmost first, until none is left; a heap over linked symbols."""
+        """Merge the pair of lowest rank, leftmost first, until none is left."""
+        if len(symbols) > SCANNED:
+            return self._merge_long(symbols)
+        rank = self.rank.get
+        ranks = [rank(p, _NEVER) for p in zip(symbols, symbols[1:])]  # noqa: B905
+        while ranks and (best := min(ranks)) is not _NEVER:
+            i = ranks.index(best)
+            symbols[i : i + 2] = [best[1]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = rank((symbols[i - 1], best[1]), _NEVER)
+            if i < len(ranks):
+                ranks[i] = rank((best[1], symbols[i + 1]), _NEVER)
+        return symbols
+
+    def _merge_long(self, symbols: list[str]) -> list[str]:
+        """The same by a heap over linked symbols, whose cost grows with n log n."""
         n, rank = len(symbols), self.rank
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heap = [(*rank[p], i) for i in range(n - 1) if (p := (symbols[i], symbols[i + 1])) in rank]
@@ -84,42 +110,69 @@ class ForcedBPE:
         return [s for s in symbols if s]
 
     def fragment(self, text: str, last: bool) -> list[int]:
-        key = (text, last)
-        if (got := self.fragments.get(key)) is None:
+        key = text + self.suffix if last else text
+        kept = self.ends if last else self.inner
+        if (got := kept.get(text)) is None:
             symbols = list(text)
-            if last:
-                symbols[-1] += self.suffix
+            symbols[-1:] = [key[len(text) - 1 :]]
             got = [self.vocab[s] for s in self.merge(symbols) if s in self.vocab]
             if len(text) <= KEPT_LENGTH:
-                if len(self.fragments) >= KEPT:
-                    self.fragments.clear()
-                self.fragments[key] = got
+                if len(kept) >= KEPT:
+                    kept.clear()
+                kept[text] = got
         return got
 
-    def _words(self, text: str) -> list[int]:
+    def word(self, word: str) -> list[int]:
+        *first, last = self.cut(word)
         ids: list[int] = []
-        for word, _ in self.pre(self.normalize(text)) if text else ():
-            *first, last = self.cut(word)
-            for f in first:
-                ids += self.fragment(f, False)
-            ids += self.fragment(last, True)
-        return ids
-
-    def piece(self, text: str) -> bytes:
-        if (got := self.pieces.get(text)) is None:
-            ids: list[int] = []
-            for part in self.special.split(text) if self.special else (text,):
-                ids += [self.added[part]] if part in self.added else self._words(part)
-            got = np.asarray(ids, dtype="<u4").tobytes()
-            if len(text) <= KEPT_LENGTH:
-                if len(self.pieces) >= KEPT:
-                    self.pieces.clear()
-                self.pieces[text] = got
-        return got
+        for f in first:
+            ids += self.fragment(f, False)
+        return ids + self.fragment(last, True) if ids else self.fragment(last, True)
 
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit bytes."""
-        return b"".join(map(self.piece, PIECE.findall(text)))
+    def _ids(self, text: str) -> bytes:
+        """Ids of one piece, by itself."""
+        ids: list[int] = []
+        for part in self.special.split(text) if self.special else (text,):
+            if part in self.added:
+                ids.append(self.added[part])
+            elif part:
+                for word, _ in self.pre(self.normalize(part)):
+                    ids += self.word(word)
+        return array("I", ids).tobytes()
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Keep the ids of pieces: all are normalised and pre-tokenised in one string, with a blank between two."""
+        odd = [p for p in pieces if self.special and self.special.search(p)]
+        plain = list(set(pieces).difference(odd)) if odd else pieces
+        text = self.normalize(" ".join(plain))
+        ends = [i for i, c in enumerate(text) if c == " "]
+        if len(ends) != len(plain) - 1:  # a piece that normalises to white space or to nothing
+            odd, plain = pieces, []
+        ends.append(len(text))
+        ids: list[list[int]] = [[] for _ in plain]
+        if plain:
+            k = 0
+            for word, (_, end) in self.pre(text):
+                while end > ends[k]:
+                    k += 1
+                ids[k] += self.word(word)
+        self.pieces.update(zip(plain, [array("I", x).tobytes() for x in ids], strict=True))
+        self.pieces.update((p, self._ids(p)) for p in odd)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit bytes."""
+        split = [PIECE.findall(t) for t in texts]
+        kept = self.pieces
+        if len(kept) > KEPT:
+            kept.clear()
+        missing = list(set(filterfalse(kept.__contains__, chain.from_iterable(split))))
+        for i in range(0, len(missing), LEARNED):
+            self._learn(missing[i : i + LEARNED])
+        out = [b"".join(map(kept.__getitem__, pieces)) for pieces in split]
+        for p in missing:
+            if len(p) > KEPT_LENGTH:
+                del kept[p]
+        return out
 
     def decode(self, ids: bytes) -> str:
         """Tokens with a blank between them, as the library joins them where a file names no decoder."""
@@ -142,7 +195,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, digests: bool = True, id_c
         model = codec(tokenizer)
         for batch in batches:
             for part in slices(batch, "text"):
-                ids = list(map(model.encode, part.column(1).to_pylist()))
+                ids = model.encode(part.column(1).to_pylist())
                 if digests:
                     yield record_batch([part.column(0), [len(x) >> 2 for x in ids], [hashlib.sha256(x).hexdigest() for x in ids], [hashlib.sha256(model.decode(x).encode()).hexdigest() for x in ids]], SCHEMA)
                 else:
