@@ -285,14 +285,14 @@ def test_scores(spark, docs, none, frequent):
     n, v = sum(c.values()), len(c)
     path = P.path("piece_bpe_32k.model")
     _, by_byte, start = lattice_lm.vocabulary(path)
-    expected = [0.0] * len(start)
+    expected = np.zeros(len(start))
     walk = lattice_lm.Lattice(path)
     for w, k in c.items():
         if w != " ":
-            walk.expect(w, k, expected)
+            walk.expect([w], [k], expected)
     total = lattice_lm.PRIOR + sum(expected) + c[" "] + 1
     final = lattice_lm.Lattice(path, np.log((lattice_lm.PRIOR * np.exp(start) + np.array(expected)) / total))
-    lp = lambda w: math.log10((c[" "] + 1) / total) if w == " " else final.forward(w) / math.log(10)
+    lp = lambda w: math.log10((c[" "] + 1) / total) if w == " " else final.forward([w])[0] / math.log(10)
     want = sorted(((r[0] is not None, r[0] or 0, h, len(t), sum(c[w] > 0 for w in t), n, sum(math.log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in t), sum(map(lp, t))) for r, h, t in zip(ROWS, held, tokens, strict=True)))
     got = sorted((x[0] is not None, x[0] or 0, *x[1:]) for x in map(tuple, lattice_lm.score_texts(docs, path, frequent=frequent).collect()))
     assert [x[:6] for x in got] == [x[:6] for x in want]
@@ -310,10 +310,16 @@ def test_lattice_sums_all_segmentations():
         return total + (math.exp(walk.spelled(s[0])[0]) * every(s[1:]) if s[0] not in walk.ids else 0.0)
 
     for w in ("the", "reading", "naïve", "中x", "aaaaa"):
-        assert math.isclose(walk.forward(w), math.log(every(lattice_lm.MARK + w)), rel_tol=1e-9)
-        counts = [0.0] * len(walk.lp)
-        walk.expect(w, 1.0, counts)
+        assert math.isclose(walk.forward([w])[0], math.log(every(lattice_lm.MARK + w)), rel_tol=1e-9)
+        counts = np.zeros(len(walk.lp))
+        walk.expect([w], [1.0], counts)
         if all(c in walk.ids for c in w):  # the pieces cover each character once
             names = {i: p for p, i in walk.ids.items()}
             assert math.isclose(sum(x * len(names[i]) for i, x in enumerate(counts) if x), len(w) + 1)
         assert sum(counts) > 0
+    words = [*(w for t in SOUP for w in t.split()), "x" * 3000, "中" * 50, "", "the"]
+    each, together = np.zeros(len(walk.lp)), np.zeros(len(walk.lp))
+    for w in words:
+        walk.expect([w], [2.0], each)
+    walk.expect(words, [2.0] * len(words), together)
+    assert np.allclose(each, together) and np.allclose(walk.forward(words), [walk.forward([w])[0] for w in words])
