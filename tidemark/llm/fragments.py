@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 from functools import lru_cache
+from itertools import chain, filterfalse
 
 import numpy as np
 
@@ -21,6 +22,8 @@ LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 FRAGMENT = re.compile(f" ?[{LETTERS}]++(?![^{WHITE}.,])| ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
 #: Fragments that a worker keeps, and the longest that it keeps, in characters.
 KEPT_FRAGMENTS, KEPT_LENGTH = 450_000, 64
+#: Fragments in one string for the library.
+JOINED = 256
 #: UTF-8 bytes in one call of the library.
 BATCH_BYTES = 1 << 18
 
@@ -61,9 +64,10 @@ class FragmentEncoder:
         tokenizer = Tokenizer.from_file(path)
         tokenizer.no_truncation()
         tokenizer.no_padding()
-        self.library = lambda texts: [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+        self.library = lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         spec = json.loads(tokenizer.to_str())
         pre, model = spec["pre_tokenizer"] or {}, spec["model"]
+        self.line_feed = model["vocab"].get("\u010a")
         white = re.compile(f"[{WHITE}]")
         self.safe = (
             spec["normalizer"] is None
@@ -72,12 +76,25 @@ class FragmentEncoder:
             and not pre.get("add_prefix_space")
             and model["type"] == "BPE"
             and not model.get("dropout")
+            and self.library(["\n"]) == [[self.line_feed]]
             and not any(a["lstrip"] or a["rstrip"] or a["single_word"] or white.search(a["content"]) for a in spec["added_tokens"])
         )
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.asarray(ids, dtype="<u4").tobytes() for part in balanced(texts) for ids in self.library(part)]
 
+    def _fragment_ids(self, fragments: list[str]) -> list[bytes]:
+        """Ids of fragments that hold a character besides white space: ``JOINED`` of them in one string.
+
+        The line feed between them is one token, and no fragment holds it.
+        """
+        strings = ["\n".join(fragments[i : i + JOINED]) for i in range(0, len(fragments), JOINED)]
+        out = []
+        for ids in self._ids(strings):
+            cuts = (np.flatnonzero(np.frombuffer(ids, "<u4") == self.line_feed) << 2).tolist()
+            out += [ids[a:b] for a, b in zip([0, *[c + 4 for c in cuts]], [*cuts, len(ids)], strict=True)]
+        return out
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.safe:
             return self._ids(texts)
@@ -85,11 +102,13 @@ class FragmentEncoder:
         kept = self.kept
         if len(kept) > KEPT_FRAGMENTS:
             kept.clear()
-        missing = [f for f in set().union(*split) if f not in kept]
-        new = dict(zip(missing, self._ids(missing), strict=True))
-        kept.update(new)
+        missing = set(filterfalse(kept.__contains__, chain.from_iterable(split)))
+        blank = [f for f in missing if f.isspace()]
+        words = list(missing.difference(blank))
+        kept.update(zip(blank, self._ids(blank), strict=True))
+        kept.update(zip(words, self._fragment_ids(words), strict=True))
         out = [b"".join(map(kept.__getitem__, fragments)) for fragments in split]
-        for f in new:
+        for f in missing:
             if len(f) > KEPT_LENGTH:
                 del kept[f]
         return out
