@@ -5,7 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain, islice
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -82,6 +83,52 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         yield batch.slice(start)
 
 
+class Kept:
+    """Bytes that stand for fragments of text; ``learn`` gives those of a list of fragments.
+
+    A worker keeps the first ``bound`` fragments that it meets (frequent ones are among them, save after a change of
+    the texts' kind: so it starts anew when it has learned ``RENEWED`` times as many) and no fragment over ``LENGTH``
+    characters.
+    """
+
+    LENGTH, RENEWED = 64, 8
+
+    def __init__(self, bound: int, split: Callable[[str], list[str]], learn: Callable[[list[str]], list[bytes]]):
+        self.bound, self.split, self.learn = bound, split, learn
+        self.known: dict[str, bytes] = {}
+        self.learned = 0
+
+    def join(self, texts: list[str]) -> list[bytes]:
+        """For each text the bytes of its fragments, one after the other.
+
+        A text's fragments are looked up at once, while they are in the processor's cache; of a text with unknown
+        ones only those fragments stay.
+        """
+        if self.learned > self.RENEWED * self.bound:
+            self.known.clear()
+            self.learned = 0
+        known, out, gaps = self.known, [], []
+        for text in texts:
+            fragments = self.split(text)
+            found = list(map(known.get, fragments))
+            try:
+                out.append(b"".join(found))
+            except TypeError:  # a fragment that is not known
+                at = [i for i, x in enumerate(found) if x is None]
+                gaps.append((len(out), found, at, [fragments[i] for i in at]))
+                out.append(b"")
+        new = list(set(chain.from_iterable(g[3] for g in gaps)))
+        got = dict(zip(new, self.learn(new), strict=True)) if new else {}
+        for k, found, at, fragments in gaps:
+            for i, f in zip(at, fragments, strict=True):
+                found[i] = got[f]
+            out[k] = b"".join(found)
+        self.learned += len(new)
+        if (room := self.bound - len(known)) > 0:
+            known.update(islice(((f, x) for f, x in got.items() if len(f) <= self.LENGTH), room))
+        return out
+
+
 def arrow_schema(ddl: str) -> pa.Schema:
     kinds = {"long": pa.int64(), "string": pa.string(), "boolean": pa.bool_(), "double": pa.float64(), "binary": pa.binary(), "int": pa.int32(), "array<long>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32()), "array<string>": pa.list_(pa.string())}
     return pa.schema([(name, kinds[kind]) for name, kind in (x.split() for x in ddl.split(","))])

@@ -11,17 +11,18 @@ from __future__ import annotations
 
 import re
 from functools import lru_cache
-from itertools import chain, filterfalse
 
 import numpy as np
 
+from tidemark.llm.common import Kept
+
 #: White space by Unicode, which Python's ``\\s`` extends by four control characters.
 WHITE = "\t-\r \x85\xa0  -     　"
 #: Letters only: a word of these before a comma, a full stop, white space or the end is a fragment of its own.
 LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 FRAGMENT = re.compile(f" ?[{LETTERS}]++(?![^{WHITE}.,])| ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
-#: Fragments that a worker keeps, and the longest that it keeps, in characters.
-KEPT_FRAGMENTS, KEPT_LENGTH = 450_000, 64
+#: Fragments that a worker keeps.
+KEPT_FRAGMENTS = 450_000
 #: Fragments in one string for the library.
 JOINED = 256
 #: UTF-8 bytes in one call of the library.
@@ -46,7 +47,7 @@ class FragmentEncoder:
     """``encode(texts)`` gives the ids of each text as little-endian unsigned 32-bit bytes."""
 
     def __init__(self, path: str):
-        self.kept: dict[str, bytes] = {}
+        self.kept = Kept(KEPT_FRAGMENTS, FRAGMENT.findall, self._learn)
         if path.endswith(".model"):
             import sentencepiece
 
@@ -95,23 +96,16 @@ class FragmentEncoder:
             out += [ids[a:b] for a, b in zip([0, *[c + 4 for c in cuts]], [*cuts, len(ids)], strict=True)]
         return out
 
+    def _learn(self, fragments: list[str]) -> list[bytes]:
+        blank = [f for f in fragments if f.isspace()]
+        words = [f for f in fragments if not f.isspace()]
+        ids = dict(zip(blank, self._ids(blank), strict=True)) | dict(zip(words, self._fragment_ids(words), strict=True))
+        return list(map(ids.__getitem__, fragments))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.safe:
             return self._ids(texts)
-        split = [FRAGMENT.findall(t) for t in texts]
-        kept = self.kept
-        if len(kept) > KEPT_FRAGMENTS:
-            kept.clear()
-        missing = set(filterfalse(kept.__contains__, chain.from_iterable(split)))
-        blank = [f for f in missing if f.isspace()]
-        words = list(missing.difference(blank))
-        kept.update(zip(blank, self._ids(blank), strict=True))
-        kept.update(zip(words, self._fragment_ids(words), strict=True))
-        out = [b"".join(map(kept.__getitem__, fragments)) for fragments in split]
-        for f in missing:
-            if len(f) > KEPT_LENGTH:
-                del kept[f]
-        return out
+        return self.kept.join(texts)
 
 
 @lru_cache(maxsize=4)
