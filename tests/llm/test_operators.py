@@ -101,6 +101,10 @@ def test_forced_bpe(docs, none):
     assert full["ids"] == t.encode(TEXTS[8], add_special_tokens=False).ids
     model = forced_bpe.ForcedBPE(P.path("word_bpe_49k.json"))
     assert any(len(model.cut(w)) > 1 for w in ("qzxjk", "wqxzj")) and "".join(model.cut("qzxjk")) == "qzxjk"
+    odd = ["İ. aİ, É,é", "it's. it'll,b 1.5a,", "x.<|startoftext|>y<|endoftext|>.", "näive, ſ, ǆ. \x85 x.."]
+    odd += ["".join(random.choice(" \n'sab1éİ.,<|endoftext|>\x85") for _ in range(random.randint(0, 40))) for _ in range(2000)]
+    for _ in range(2):  # unknown pieces, then kept ones
+        assert [np.frombuffer(x, "<u4").tolist() for x in model.encode(odd)] == [e.ids for e in t.encode_batch(odd, add_special_tokens=False)]
 
 
 def test_html(spark):

@@ -15,23 +15,27 @@ import json
 import re
 from array import array
 from functools import lru_cache
-from itertools import chain, filterfalse
+from itertools import chain
 from operator import add
 
 import numpy as np
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import id_text, record_batch, slices
-from tidemark.llm.fragments import WHITE
+from tidemark.llm.common import Kept, id_text, record_batch, slices
+from tidemark.llm.fragments import LETTERS, WHITE
 
 SCHEMA = "doc_id long,n_tokens long,ids_sha256 string,decoded_sha256 string"
 _IDS = "doc_id long,ids array<long>,decoded string"
-#: Pieces and fragments that a worker keeps, and the longest that it keeps, in characters.
-KEPT, KEPT_LENGTH = 150_000, 64
+#: Pieces and fragments that a worker keeps, and the longest fragment that it keeps, in characters.
+KEPT_PIECES, KEPT, KEPT_LENGTH = 400_000, 150_000, 64
 #: Pieces normalised in one string; symbols up to which a fragment's pairs are scanned rather than kept in a heap.
 LEARNED, SCANNED = 1024, 24
 _NEVER = (1 << 60, "")
-PIECE = re.compile(f"[^{WHITE}]+")
+#: Pieces between white space; where no match of the pre-tokenizer goes from a letter on to a comma or full stop,
+#: a word of letters before one is a piece of its own.
+SPACED = re.compile(f"[^{WHITE}]+")
+#: (U+0130 ends in a mark, not a letter, when lower-cased.)
+PIECE = re.compile(f"(?:(?!\u0130)[{LETTERS}])++(?![^{WHITE}.,])|[^{WHITE}]+")
 
 
 class ForcedBPE:
@@ -59,7 +63,8 @@ class ForcedBPE:
         self.pre = tokenizer.pre_tokenizer.pre_tokenize_str
         names = {i: t for t, i in self.vocab.items()} | {i: t for t, i in added.items()}
         self.names = [names.get(i, "") for i in range(max(names) + 1)]
-        self.pieces: dict[str, bytes] = {}
+        alone = all([w for w, _ in self.pre(self.normalize(f"a{c}{d}"))][:1] == [self.normalize("a")] for c in ".," for d in ".,a1- ")
+        self.pieces = Kept(KEPT_PIECES, (PIECE if alone else SPACED).findall, self._pieces)
         self.inner: dict[str, list[int]] = {}
         self.ends: dict[str, list[int]] = {}  # of fragments at a word's end
 
@@ -140,39 +145,30 @@ class ForcedBPE:
                     ids += self.word(word)
         return array("I", ids).tobytes()
 
-    def _learn(self, pieces: list[str]) -> None:
-        """Keep the ids of pieces: all are normalised and pre-tokenised in one string, with a blank between two."""
-        odd = [p for p in pieces if self.special and self.special.search(p)]
-        plain = list(set(pieces).difference(odd)) if odd else pieces
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        return list(chain.from_iterable(self._learn(pieces[i : i + LEARNED]) for i in range(0, len(pieces), LEARNED)))
+
+    def _learn(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces: all are normalised and pre-tokenised in one string, with a blank between two."""
+        odd = {p for p in pieces if self.special.search(p)} if self.special else set()
+        plain = [p for p in pieces if p not in odd] if odd else pieces
         text = self.normalize(" ".join(plain))
         ends = [i for i, c in enumerate(text) if c == " "]
         if len(ends) != len(plain) - 1:  # a piece that normalises to white space or to nothing
-            odd, plain = pieces, []
+            return list(map(self._ids, pieces))
         ends.append(len(text))
         ids: list[list[int]] = [[] for _ in plain]
-        if plain:
-            k = 0
-            for word, (_, end) in self.pre(text):
-                while end > ends[k]:
-                    k += 1
-                ids[k] += self.word(word)
-        self.pieces.update(zip(plain, [array("I", x).tobytes() for x in ids], strict=True))
-        self.pieces.update((p, self._ids(p)) for p in odd)
+        k = 0
+        for word, (_, end) in self.pre(text):
+            while end > ends[k]:
+                k += 1
+            ids[k] += self.word(word)
+        done = iter([array("I", x).tobytes() for x in ids])
+        return [self._ids(p) if p in odd else next(done) for p in pieces]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit bytes."""
-        split = [PIECE.findall(t) for t in texts]
-        kept = self.pieces
-        if len(kept) > KEPT:
-            kept.clear()
-        missing = list(set(filterfalse(kept.__contains__, chain.from_iterable(split))))
-        for i in range(0, len(missing), LEARNED):
-            self._learn(missing[i : i + LEARNED])
-        out = [b"".join(map(kept.__getitem__, pieces)) for pieces in split]
-        for p in missing:
-            if len(p) > KEPT_LENGTH:
-                del kept[p]
-        return out
+        return self.pieces.join(texts)
 
     def decode(self, ids: bytes) -> str:
         """Tokens with a blank between them, as the library joins them where a file names no decoder."""
