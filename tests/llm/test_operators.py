@@ -6,6 +6,7 @@ import html
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -125,6 +126,46 @@ def test_html_on_pages_of_the_test_data(spark):
         assert html_extract.main_text(page) == "\n\n".join(filter(None, blocks))
 
 
+WORDY = " ".join(f"word{i}" for i in range(80))
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        (f"<article class='post social-share-enabled'><p>{WORDY}</p><p>Two words</article>", [WORDY, "Two words"]),
+        (f"<div class='main-content with-sidebar'><p>{WORDY}</p></div><div class=sidebar><a>More</a></div>", [WORDY]),
+        (f"<article class=sponsored><h1>Head</h1><p>{WORDY}</article><footer>{WORDY}</footer>", ["Head", WORDY]),
+        (f"<main><div class=menu>Menu words here</div><h1>Head</h1><p>{WORDY}</main>", ["Head", WORDY]),
+        (f"<ul><li><a>Home</a><li><a>News</a></ul><h1>Head of it</h1><p>{WORDY}</p><p>{WORDY}</p><p><a>Terms</a> <a>Legal</a></p>", ["Head of it", WORDY, WORDY]),  # plain containers
+        (f"<table><tr><td><a>Home</a><td><a>News</a></table><table><tr><td>{WORDY}<tr><td>{WORDY}</table>", [WORDY, WORDY]),
+        (f"<article><p>{WORDY}<ul><li><a>One link</a><li><a>Another</a></ul><p>End</article><div class=comments><p>{WORDY}</div>", [WORDY, "One link", "Another", "End"]),
+        (f"<form><nav><a>Home</a></nav><article><p>{WORDY}</p><p>{WORDY}</article></form>", [WORDY, WORDY]),
+        (f"<p title=\"a > b\">{WORDY} x<!-- <p>no --> &lt;b&gt; 1 < 2 &#99999999999999999999; <button>Buy</button>end<p hidden>none<div style='display: none'>none</div>", [f"{WORDY} x <b> 1 < 2 � end"]),
+        (f"<footer>{WORDY}</footer>", []), (f"<nav>{WORDY}</nav><div class=comments>{WORDY}</div>", []),
+    ],
+)
+def test_html_by_structure(page, want):
+    assert html_extract.main_text(page) == "\n\n".join(want)
+
+
+def test_html_tree_looks_at_neighbours():
+    def used(tree):
+        return {html_extract.FEATURES[tree[0]]} | used(tree[2]) | used(tree[3]) if isinstance(tree, tuple) else set()
+
+    tree = html_extract.default_tree()
+    assert html_extract.FEATURES[tree[0]] != "in_frame" and used(tree) & {"words_before", "words_after"} and used(tree) & {"links_before", "links_after"}
+    assert all(html_extract.classify(tree, r[:-1]) == r[-1] for r in html_extract.labelled())
+
+
+@pytest.mark.parametrize("part", ["<a ", "<script ", "<script>", "</table>", "<div></table>", "<a b=\"'>", "<a b='", "= <", "<!--", "<!x ", "&#9", "&#" + "9" * 50, "<td></div>", "<button>", "<div class=\" ", "<li>x", "<"])
+def test_html_takes_time_in_proportion(part):
+    """A page of one megabyte that an unfortunate search would go through again and again."""
+    began = time.process_time()
+    html_extract.main_text(part * (1_000_000 // len(part)))
+    html_extract.main_text("<p " + part * (1_000_000 // len(part)))
+    assert time.process_time() - began < 6
+
+
 def test_line_dedup(spark, docs, none):
     got = line_dedup.drop_boilerplate(docs, ratio=0.08, min_pages=5).selectExpr("doc_id", "td_n_lines n_lines", "td_n_dropped n_dropped", "text")
     c = duckdb.connect()
