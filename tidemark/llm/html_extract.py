@@ -59,6 +59,9 @@ PAGES = (
     # no main text at all
     "<nav><a>{1}</a><a>{2}</a></nav><footer><p>{20}</p><p>{60}</p></footer>", "<form><label>{2}</label><p>{24}</p></form>", "<header><p>{12}</p></header>",
     "<div class=comments><p>{60}</p><p>{25}</p></div>", "<aside><p>{50}</p></aside>", "<div class=cookie-notice>{45}</div><div class=footer>{12}</div>", "<nav><a>{2}</a> <a>{3}</a></nav>",
+    # frames of few words beside much text without a main element
+    "<div class=ad>{1}</div><p>+{200}</p><p hidden>{1}</p><p>+{90}</p><div class=footer>{2}</div>", "<header>{1}</header><p>+{120}</p><p>+{150}</p><aside>{2}</aside><p>+{60}</p><p class=sponsor>{1}</p><footer>{1}</footer>",
+    "<h1>+{5}</h1><p>+{180}</p><div class=share><a>{1}</a></div><p>+{90}</p><div class='comments open'>{3}</div>",
     # plain containers: the text's own shape decides
     "<ul><li><a>{1}</a><li><a>{2}</a><li><a>{1}</a><li><a>{2}</a></ul><h1>+{6}</h1><p>+{55}</p><p>+{60}</p><p>+{38}</p><p><a>{2}</a> <a>{3}</a></p><p><a>{1}</a> | <a>{2}</a> {2}</p>",
     "<table><tr><td><a>{2}</a><td><a>{1}</a></table><table><tr><td>+{80}</td></tr><tr><td>+{60}</td></tr></table><div><a>{3}</a> <a>{2}</a></div>",
