@@ -21,7 +21,7 @@ P = pytest.importorskip("public_tokenizers")
 
 from tidemark.llm import forced_bpe, fragments, html_extract, lattice_lm, license_index, line_dedup, quality_llr, simhash_ball, token_count, token_store, winnow  # noqa: E402
 
-DOCS = "doc_id long, text string, lang string, source string, n_chars long, n_tokens int, fp string, row long, word string, td_text string"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, n_tokens int, fp string, row long, word string, td_text string, td_n_lines string, td_keys string, td_key string, TD_SITE string, td_spans string, td_starts string, td_gone string, kept string"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 random.seed(5)
 SOUP = ["".join(random.choice(" \n\t'sab1É.%\x1ćİ<>") for _ in range(random.randint(1, 50))) for _ in range(40)]
@@ -34,7 +34,8 @@ TEXTS = [
     *[f"{BOILER}\nBody {i} has its own words like w{i} and v{i * 7} in a row\n\n  {BOILER} \r\nend {i}" for i in range(12)],
     "long " + " ".join(f"w{i % 977}" for i in range(30000)), "z" * 20000, "#" * 30 + "|$%&<> junk", *SOUP,
 ]
-ROWS = [(i if i != 9 else None, t, "en", None if i % 11 == 0 else f"s{i % 2}", len(t or ""), 1, "f", 7, "w", None) for i, t in enumerate(TEXTS)]
+SITES = ("s0", "s1", "HTTPS://me@S1:80/p?q", "ftp://s0")
+ROWS = [(i if i != 9 else None, t, "en", None if i % 11 == 0 else SITES[i % 4], len(t or ""), 1, "f", 7, "w", None, *"abcdefgh") for i, t in enumerate(TEXTS)]
 ROWS.append(ROWS[20])
 
 
@@ -166,14 +167,37 @@ def test_html_takes_time_in_proportion(part):
     assert time.process_time() - began < 6
 
 
-def test_line_dedup(spark, docs, none):
-    got = line_dedup.drop_boilerplate(docs, ratio=0.08, min_pages=5).selectExpr("doc_id", "td_n_lines n_lines", "td_n_dropped n_dropped", "text")
+def brute_lines(rows, ratio):
+    """n_lines, n_dropped and text of each (text, source)."""
+    site = lambda x: {"HTTPS://me@S1:80/p?q": "s1", "ftp://s0": "s0", None: ""}.get(x, x)
+    strip = lambda x: x.strip(" \t\r")
+    pages, held = Counter(site(s) for _, s in rows), Counter()
+    for t, s in rows:
+        held.update({(site(s), strip(x)) for x in (t or "").split("\n") if strip(x)})
+    over = {k for k, n in held.items() if pages[k[0]] * ratio >= 1 and n > pages[k[0]] * ratio}
+    out = []
+    for t, s in rows:
+        lines = (t or "").split("\n")
+        left = [x for x in lines if (site(s), strip(x)) not in over]
+        out.append((0, 0, None) if t is None else (len(lines), len(lines) - len(left), "\n".join(left)))
+    return out
+
+
+@pytest.mark.parametrize("limit", ["10485760", "-1"])
+def test_line_dedup(spark, docs, none, limit):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)  # -1: the flagged lines are over any limit
+    try:
+        whole = line_dedup.drop_boilerplate(docs, ratio=0.1, n_lines="n_lines", n_dropped="n_dropped")
+        assert whole.columns == [*docs.columns, "n_lines", "n_dropped"]
+        got = rows(whole.select("doc_id", "n_lines", "n_dropped", "text"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     c = duckdb.connect()
-    frame = pd.DataFrame(ROWS, columns=[x.split()[0] for x in DOCS.split(", ")]).astype({"doc_id": "Int64"})
-    c.register("documents", frame)
-    same(rows(got), c.execute(line_dedup.oracle_sql()).fetchall())
-    assert got.where("n_dropped > 0").count() == 12 and got.where(f"text like '%{BOILER}%'").select("doc_id").collect() == [(22,)]  # 22 is of another site
-    assert line_dedup.drop_boilerplate(docs).columns[: len(docs.columns)] == docs.columns
+    c.register("documents", pd.DataFrame([(r[0], r[1], r[3]) for r in ROWS], columns=["doc_id", "text", "source"]).astype({"doc_id": "Int64"}))
+    same(got, c.execute(line_dedup.oracle_sql(0.1)).fetchall())
+    same(got, [(r[0], *x) for r, x in zip(ROWS, brute_lines([(r[1], r[3]) for r in ROWS], 0.1), strict=True)])
+    assert [r[0] for r in got if BOILER in (r[3] or "")] == [22]  # of the site '', which has few pages
+    assert line_dedup.drop_boilerplate(docs).columns == [*docs.columns, "td_n_lines_", "td_n_dropped"]
     assert rows(line_dedup.drop_boilerplate(none)) == []
 
 
@@ -263,6 +287,39 @@ def test_links_of_dense_fingerprints(spark, run):
     assert all(len(g) == 1 for g in groups.values()) and len({next(iter(g)) for g in groups.values()}) == len(groups)
 
 
+def test_many_equal_rows_and_hot_groups(spark, monkeypatch):
+    """A third of all rows are one text, another third near copies of it; hot keys and others are joined alike."""
+    from tidemark.llm import common
+
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join(words)] * 3000 + [" ".join(words[: 399 - i % 3]) for i in range(3000)] + [f"other {i} " + " ".join(random.choices(words, k=30)) for i in range(300)]
+    prints = [brute_print(t) for t in texts[:1] + texts[3000:3003] + texts[6000:]]
+    want = dict(zip([0, 3000, 3001, 3002, *range(6000, 6300)], brute_components([0, 3000, 3001, 3002, *range(6000, 6300)], prints), strict=True))
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    for hot in (1 << 16, 4):
+        monkeypatch.setattr(common, "HOT", hot)
+        got = {r["doc_id"]: r["component_id"] for r in simhash_ball.near_duplicates(table).collect()}
+        assert all(got[i] == want[0] for i in range(3000)) and all(got[i] == want[3000 + i % 3] for i in range(3000, 6000)) and all(got[i] == want[i] for i in range(6000, 6300))
+
+
+def test_a_hot_key_is_joined_without_a_shuffle_of_its_rows(spark, monkeypatch):
+    from tidemark.llm import common
+
+    left = spark.range(4000).selectExpr("CASE WHEN id < 3000 THEN 7 ELSE id END AS a", "id AS b")
+    right = common.stage(left.groupBy("a").count().selectExpr("a", "a * 2 AS m", "`count` AS rows"))
+    monkeypatch.setattr(common, "HOT", 100)
+    joined = common.spread_join(left, right, "a", "rows", 4000)
+    assert joined.where("m = 2 * a").count() == 4000 and joined.where("a = 7").count() == 3000
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = common.spread_join(left, right, "a", "rows", 4000)
+        joined.collect()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("BroadcastHashJoin") >= 2 and "SortMergeJoin" in plan
+
+
 def test_components_of_chains_and_stars(spark):
     from tidemark.llm.components import components
 
@@ -287,25 +344,45 @@ def brute_hits(items, text):
     for i, t in items:
         w = split(t)
         m = min(13, len(w))
-        for s in range(len(w) - m + 1 if m else 0):
-            for p in range(len(words) - m + 1):
-                if words[p : p + m] == w[s : s + m]:
-                    hit.update(range(p, p + m))
-                    found.update([] if i is None else [str(i)])
+        windows = {tuple(w[s : s + m]) for s in range(len(w) - m + 1)} if m else set()
+        for p in range(len(words) - m + 1):
+            if tuple(words[p : p + m]) in windows:
+                hit.update(range(p, p + m))
+                found.update([] if i is None else [str(i)])
     return len(words), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(words)
 
 
 @pytest.mark.parametrize("limit", [1 << 20, 60])
 def test_contamination(spark, docs, none, limit):
-    items = [(3, PASSAGE), (20, "before " + PASSAGE[:70] + " other"), (4, "short item"), (5, None), (6, "?!"), (None, "Body 3 has its own words"), (4, "public license"), (11, "the the the the the the the the the the the the the the")]
+    items = [(3, PASSAGE), (20, "before " + PASSAGE[:70] + " other"), (4, "short item"), (5, None), (6, "?!"), (None, "Body 3 has its own words"), (4, "public license"), (11, "the the the the the the the the the the the the the the"), (12, TEXTS[32][9000:9400])]
     benchmark = spark.createDataFrame([(*x, "q") for x in items], "item_id long, text string, doc_id string")
-    small = docs.where("length(text) < 5000 OR text IS NULL")
-    want = [(r[0], *brute_hits(items, r[1])) for r in ROWS if len(r[1] or "") < 5000]
-    same(rows(winnow.contamination(small, benchmark, limit)), want)
-    clean = winnow.drop_contaminated(small, benchmark, limit)
+    want = [(r[0], *brute_hits(items, r[1])) for r in ROWS]
+    got = rows(winnow.contamination(docs, benchmark, limit))
+    same(got, want)
+    assert next(r for r in got if r[0] == 32)[2] > 500  # the very long text, which repeats
+    clean = winnow.drop_contaminated(docs, benchmark, limit)
     assert clean.columns == docs.columns
     same([r[0] for r in clean.collect()], [w[0] for w in want if not w[5]])
-    assert rows(winnow.contamination(none, benchmark)) == [] and not any(r[5] for r in rows(winnow.contamination(small, benchmark.limit(0))))
+    assert rows(winnow.contamination(none, benchmark, limit)) == [] and not any(r[5] for r in rows(winnow.contamination(docs, benchmark.limit(0))))
+
+
+def test_contamination_by_long_items(spark, monkeypatch):
+    """Items of many pieces in many blocks: spans across a piece's end are found, by fingerprints and in one block alike."""
+    monkeypatch.setattr(winnow, "PIECE_WORDS", 40)
+    words = [random.choice("abcdefghijklmnop") + str(random.randrange(400)) for _ in range(1500)]
+    items = [(i, " ".join(words[i * 300 : i * 300 + 320])) for i in range(5)]
+    texts = [" ".join([*words[i * 29 : i * 29 + n], "and", "then", *words[:12], "end"]) for i in range(50) for n in (12, 13, 45)]
+    docs, benchmark = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    want = [(i, *brute_hits(items, t)) for i, t in enumerate(texts)]
+    for limit in (1 << 20, 700):
+        same(rows(winnow.contamination(docs, benchmark, limit)), want)
+
+
+def test_contamination_takes_time_in_proportion():
+    block = winnow.Block([("x", [b"the"] * 4000), ("y", [b"the", b"a"] * 2000)])
+    began = time.process_time()
+    spans, items = block.find([b"the"] * 100_000)
+    assert time.process_time() - began < 2 and winnow.merged(spans) == [(0, 100_000)] and items == {"x"}
 
 
 def test_winnowing_guarantee():

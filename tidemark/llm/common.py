@@ -1,11 +1,11 @@
-"""Helpers shared by the text operators: staging to the shared folder, Arrow batches, words."""
+"""Helpers shared by the text operators: staging to the shared folder, joins on uneven keys, Arrow batches, words."""
 
 from __future__ import annotations
 
-import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from itertools import chain, islice
 
 import pyarrow as pa
@@ -13,19 +13,42 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Words of the quality, near-duplicate and language-model contracts.
-SPACED_WORD = re.compile(r"[^\x20\x09-\x0D]+")
-#: Words of the licence and contamination contracts (after lower-casing A-Z).
-ALNUM_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_LOWER_TABLE = {ord(a): b for a, b in zip(UPPER, LOWER, strict=True)}
+#: Lower-cases A-Z and turns every other ASCII character but letters and digits into a blank.
+_ALNUM = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 #: Bytes of text that one slice of an Arrow batch may hold while Python objects exist for it.
 SLICE_BYTES = 1 << 20
+#: A key of a join with over 1 / HOT of the rows is hot; there are at most that many.
+HOT = 1 << 16
+_scratch: list[list[str]] = []
 
 
-def lower_ascii(text: str) -> str:
-    """Lower-case A-Z only. ``str.lower`` is right (and fast) where the text is ASCII."""
-    return text.lower() if text.isascii() else text.translate(_LOWER_TABLE)
+def utf8(text: str | bytes) -> bytes:
+    return text if isinstance(text, bytes) else text.encode("utf-8", "surrogatepass")
+
+
+def spaced_words(text: str | bytes, lower: bool = False) -> list[bytes]:
+    """``[^\\x20\\x09-\\x0D]+`` of a text in UTF-8 (bytes are split at just these; they lower-case just A-Z)."""
+    text = utf8(text)
+    return (text.lower() if lower else text).split()
+
+
+def alnum_words(text: str | bytes) -> list[bytes]:
+    """``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of a text with A-Z lower-cased, in UTF-8."""
+    return utf8(text).translate(_ALNUM).split()
+
+
+def byte_list(array: pa.Array) -> list[bytes | None]:
+    """An Arrow column of texts as Python bytes."""
+    return array.cast(pa.binary()).to_pylist()
+
+
+def free_name(taken, wanted: str) -> str:
+    """``wanted``, lengthened until no column is called so (names differ by more than case)."""
+    taken = {c.lower() for c in taken}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -44,21 +67,53 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
-def stage(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: lineage ends, and its size is known to the planner."""
+def stage(df: DataFrame, name: str = "stage", keep: bool = False) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back: lineage ends, and its size is known to the planner.
+
+    Within ``scratch`` the files go at its end (of the one around it, if kept); else they stay until ``release`` or
+    the session's end.
+    """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    folder = shared_dir(spark)
+    df.write.parquet(f"{folder}/{name}")
+    out = spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+    out.staged_in = folder
+    if len(_scratch) > keep:
+        _scratch[-1 - keep].append(folder)
+    return out
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def release(df: DataFrame) -> None:
     """Delete the files of a staged table that no later plan reads."""
-    spark = df.sparkSession
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-        if "/tidemark-" in folder:
-            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    _delete(df.sparkSession, df.staged_in)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Tables staged within are deleted at the end: what comes out has to be staged with ``keep``."""
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for folder in _scratch.pop():
+            _delete(spark, folder)
+
+
+def spread_join(left: DataFrame, right: DataFrame, key: str, rows: str, total: int) -> DataFrame:
+    """``left`` joined on ``key`` with ``right`` (staged, one row a key; ``rows``: left rows of the key, ``total``: of all).
+
+    Keys with over 1 / ``HOT`` of the rows, of which there are fewer than ``HOT``, are broadcast, so no task gets them
+    whole; the others, each with at most that share, are dealt by key. Both sides are read twice.
+    """
+    hot = F.col(rows) * HOT > total
+    top = F.broadcast(right.where(hot).drop(rows))  # fewer than HOT rows, by the condition
+    rest = left.join(F.broadcast(right.where(hot).select(key)), key, "left_anti")
+    return left.join(top, key).unionByName(rest.join(right.where(~hot).drop(rows), key))
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

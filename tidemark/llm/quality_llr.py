@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACED_WORD, id_text, record_batch, slices
+from tidemark.llm.common import byte_list, id_text, record_batch, slices, spaced_words
 
 BUCKETS = 1 << 16
 #: Labelled documents that make up the target at most: beyond it, those whose hashed id falls into a share of it.
@@ -28,21 +28,23 @@ THRESHOLD = -0.2
 SMOOTH = 1.0
 #: Least words; share in percent of words in repeated windows of ``WINDOW`` words above which a text is rejected.
 MIN_WORDS, MAX_REPEATED, WINDOW = 10, 20, 5
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = b"#*$%&|<>"
+#: Bytes that begin no character of a word: those within a character, and white space.
+_BETWEEN = bytes(range(0x80, 0xC0)) + b" \t\n\r\x0b\x0c"
 SCHEMA = "doc_id long,n_words long,word_chars long,n_symbols long,n_dup_lines long,n_repeat_words long,base_failed boolean,kept boolean,llr double"
 _COUNTS = "bucket int,raw long,target long"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _KEPT_WORDS = 150_000
-_hashes: dict[str, int] = {}
+_hashes: dict[bytes, int] = {}
 
 
-def word_hashes(words: list[str]) -> np.ndarray:
+def word_hashes(words: list[bytes]) -> np.ndarray:
     """64-bit hashes of words; a worker keeps those it has seen, up to a bound."""
     known = _hashes
     if len(known) > _KEPT_WORDS:
         known.clear()
     for w in set(words).difference(known):
-        known[w] = xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"))
+        known[w] = xxhash.xxh64_intdigest(w)
     return np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
@@ -70,8 +72,8 @@ def repeated_words(h: np.ndarray, window: int = WINDOW) -> int:
     return int(np.count_nonzero(np.cumsum(edges)))
 
 
-def duplicate_lines(text: str) -> int:
-    lines = [x for x in text.split("\n") if SPACED_WORD.search(x)]
+def duplicate_lines(text: bytes) -> int:
+    lines = [x for x in text.split(b"\n") if x.strip()]
     return len(lines) - len(set(lines))
 
 
@@ -91,11 +93,14 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = TRUSTED_IDS) -> np.ndar
         raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
         for batch in batches:
             for part in slices(batch, "text"):
-                for text, good in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    n = np.bincount(buckets(word_hashes(SPACED_WORD.findall(text))), minlength=BUCKETS)
-                    raw += n
+                found = ([], [])  # the buckets of the slice's documents, and of its good ones
+                for text, good in zip(byte_list(part.column(0)), part.column(1).to_pylist(), strict=True):
+                    found[0].append(buckets(word_hashes(spaced_words(text))))
                     if good:
-                        target += n
+                        found[1].append(found[0][-1])
+                for into, each in zip((raw, target), found, strict=True):
+                    if each:
+                        into += np.bincount(np.concatenate(each), minlength=BUCKETS)
         seen = np.flatnonzero(raw)
         yield record_batch([seen.astype(np.int32), raw[seen], target[seen]], _COUNTS)
 
@@ -110,16 +115,16 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = TRUSTED_IDS) -> np.ndar
     return log(target) - log(raw)
 
 
-def judge(texts: list[str], model: np.ndarray, threshold: float = THRESHOLD) -> list[tuple]:
+def judge(texts: list[bytes], model: np.ndarray, threshold: float = THRESHOLD) -> list[tuple]:
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, llr of each text."""
     out = []
     for text in texts:
-        words = SPACED_WORD.findall(text)
+        words = spaced_words(text)
         h = word_hashes(words)
         n, repeated = len(words), repeated_words(h)
         llr = float(model[buckets(h)].mean()) if n else 0.0
         failed = n < MIN_WORDS or 100 * repeated > MAX_REPEATED * n
-        out.append((n, sum(map(len, words)), sum(map(text.count, SYMBOLS)), duplicate_lines(text), repeated, failed, not failed and llr >= threshold, llr))
+        out.append((n, len(text.translate(None, _BETWEEN)), len(text) - len(text.translate(None, SYMBOLS)), duplicate_lines(text), repeated, failed, not failed and llr >= threshold, llr))
     return out
 
 
@@ -136,7 +141,7 @@ def assess(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, bou
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
-                yield record_batch([part.column(0), *map(list, zip(*judge(part.column(1).to_pylist(), model.value, threshold), strict=True))], SCHEMA)
+                yield record_batch([part.column(0), *map(list, zip(*judge(byte_list(part.column(1)), model.value, threshold), strict=True))], SCHEMA)
 
     return docs.mapInArrow(run, SCHEMA.replace(",", ", "))
 
@@ -150,7 +155,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
     def run(batches):
         for batch in batches:
             for part in slices(batch, text_col):
-                texts = [t or "" for t in part.column(part.schema.get_field_index(text_col)).to_pylist()]
+                texts = [t or b"" for t in byte_list(part.column(part.schema.get_field_index(text_col)))]
                 yield part.filter(pa.array([x[6] for x in judge(texts, model.value, threshold)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -19,8 +19,8 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = line_dedup.drop_boilerplate(read(spark, sf_dir, "documents"))
-    return cleaned.selectExpr("doc_id", "td_n_lines AS n_lines", "td_n_dropped AS n_dropped", "text")
+    cleaned = line_dedup.drop_boilerplate(read(spark, sf_dir, "documents"), n_lines="n_lines", n_dropped="n_dropped")
+    return cleaned.select("doc_id", "n_lines", "n_dropped", "text")
 
 
 def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
