@@ -399,29 +399,92 @@ def brute_words(text):
     return re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
 
 
+def plain_lattice(word, weight, longest):
+    """Log probability of a word and the expected count of each piece, by a plain forward and backward pass in logs.
+
+    ``weight``: log weight of a piece, or of a character that has none, or None."""
+    s = lattice_lm.MARK + word
+    edges = [(i, j, w) for i in range(len(s)) for j in range(i + 1, min(len(s), i + longest) + 1) if (w := weight(s[i:j])) is not None]
+    add = lambda a, b: max(a, b) + math.log1p(math.exp(-abs(a - b))) if min(a, b) > -math.inf else max(a, b)
+    to, back = [0.0] + [-math.inf] * len(s), [-math.inf] * len(s) + [0.0]
+    for i, j, w in edges:
+        to[j] = add(to[j], to[i] + w)
+    for i, j, w in reversed(edges):
+        back[i] = add(back[i], back[j] + w)
+    expected = Counter()
+    for i, j, w in edges:
+        expected[s[i:j]] += math.exp(to[i] + w + back[j] - to[-1])
+    return to[-1], expected
+
+
 @pytest.mark.parametrize("frequent", [1 << 18, 20])
 def test_scores(spark, docs, none, frequent):
+    """Against plain counting and a plain re-estimation, both written anew here."""
     held = [r[0] is not None and zlib.crc32(str(r[0]).encode()) % 10 == 0 for r in ROWS]
     tokens = [[*brute_words(r[1]), " "] for r in ROWS]
     c = Counter(w for t, h in zip(tokens, held, strict=True) if not h for w in t)
+    rest = Counter(w for t, h in zip(tokens, held, strict=True) if h for w in t)
     n, v = sum(c.values()), len(c)
     path = P.path("piece_bpe_32k.model")
-    _, by_byte, start = lattice_lm.vocabulary(path)
-    expected = np.zeros(len(start))
-    walk = lattice_lm.Lattice(path)
-    for w, k in c.items():
-        if w != " ":
-            walk.expect([w], [k], expected)
-    total = lattice_lm.PRIOR + sum(expected) + c[" "] + 1
-    final = lattice_lm.Lattice(path, np.log((lattice_lm.PRIOR * np.exp(start) + np.array(expected)) / total))
-    lp = lambda w: math.log10((c[" "] + 1) / total) if w == " " else final.forward([w])[0] / math.log(10)
-    want = sorted(((r[0] is not None, r[0] or 0, h, len(t), sum(c[w] > 0 for w in t), n, sum(math.log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in t), sum(map(lp, t))) for r, h, t in zip(ROWS, held, tokens, strict=True)))
+    ids, by_byte, start = lattice_lm.vocabulary(path)
+    longest, start = max(map(len, ids)), np.exp(start)
+    end = 1 / (len(start) + 1)
+    prob, tried = start * (1 - end), []
+    spell = lambda ch: [by_byte[b] for b in ch.encode()]
+    own = final = None
+
+    def weight_by(prob):
+        return lambda p: math.log(prob[ids[p]]) if p in ids else sum(math.log(prob[i]) for i in spell(p)) if len(p) == 1 else None
+
+    every = {w: plain_lattice(w, weight_by(prob), longest) for w in {*c, *rest} - {" "}}
+    own = {w: x[0] for w, x in every.items()} | {" ": math.log(end)}
+    before = (prob, end)
+    for _ in range(lattice_lm.ROUNDS):
+        if tried:
+            every = {w: plain_lattice(w, weight_by(prob), longest) for w in {*c, *rest} - {" "}}
+        tried.append((sum(k * every[w][0] for w, k in rest.items() if w != " ") + rest[" "] * math.log(end)) / sum(rest.values()))
+        if len(tried) > 1 and tried[-1] < tried[-2] + lattice_lm.TOLERANCE:
+            final = before if tried[-2] > tried[-1] else (prob, end)
+            break
+        x = lattice_lm.PRIOR * start
+        for w, k in c.items():
+            for p, y in (every[w][1].items() if w != " " else ()):
+                for i in [ids[p]] if p in ids else spell(p):
+                    x[i] += k * y
+        total = sum(x) + c[" "] + 1
+        before, prob, end = (prob, end), x / total, (c[" "] + 1) / total
+    prob, end = final or (prob, end)
+    fitted = {w: plain_lattice(w, weight_by(prob), longest)[0] for w in every} | {" ": math.log(end)}
+    log10 = lambda table, t: sum(table[w] for w in t) / math.log(10)
+    want = sorted(((r[0] is not None, r[0] or 0, h, len(t), sum(c[w] > 0 for w in t), n, sum(math.log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in t), log10(fitted, t), log10(own, t)) for r, h, t in zip(ROWS, held, tokens, strict=True)))
     got = sorted((x[0] is not None, x[0] or 0, *x[1:]) for x in map(tuple, lattice_lm.score_texts(docs, path, frequent=frequent).collect()))
     assert [x[:6] for x in got] == [x[:6] for x in want]
     assert np.allclose([x[6:] for x in got], [x[6:] for x in want], rtol=1e-9)
     assert rows(lattice_lm.score_texts(none, path)) == []
 
 
+def test_expected_counts_over_all_segmentations():
+    """Every segmentation of a short word written out."""
+    walk = lattice_lm.Lattice(P.path("piece_bpe_32k.model"))
+
+    def every(s):
+        if not s:
+            yield 1.0, ()
+        for j in range(1, len(s) + 1):
+            if s[:j] in walk.ids or j == 1:
+                w, ids = (math.exp(walk.lp[walk.ids[s[:j]]]), (walk.ids[s[:j]],)) if s[:j] in walk.ids else (math.exp(walk.spelled(s[0])[0]), tuple(walk.spelled(s[0])[1]))
+                for p, more in every(s[j:]):
+                    yield w * p, ids + more
+
+    for word in ("the", "reading", "naïve", "中x", "aaaaa", ""):
+        paths, want, got = list(every(lattice_lm.MARK + word)), np.zeros(len(walk.lp)), np.zeros(len(walk.lp))
+        for p, ids in paths:
+            for i in ids:
+                want[i] += 3 * p / sum(x for x, _ in paths)
+        lp = walk.expect([word], [3], got)
+        assert np.allclose(got, want) and math.isclose(lp[0], math.log(sum(x for x, _ in paths)))
+
+
 def test_lattice_sums_all_segmentations():
     walk = lattice_lm.Lattice(P.path("piece_bpe_32k.model"))
 
