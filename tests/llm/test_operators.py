@@ -338,6 +338,23 @@ def test_licenses(spark, docs, none):
     assert rows(license_index.scan(none)) == []
 
 
+def test_whole_licence_notices(spark):
+    """Each notice in full, in its middle only, with its key phrase broken, and many times over."""
+    from tidemark.llm.notices import NOTICES
+
+    texts = []
+    for label, notice, key in NOTICES:
+        words = notice.split()
+        texts += [(notice, label), (f"Copyright (c) 2020 Someone\n\n{notice.upper()}\n" + "code here " * 50, label), (" ".join(words[len(words) // 6 :]), None), (f"{key} " * 300, None), (notice.replace(" the ", " a ").replace(" or ", " nor "), None), (" ".join(reversed(words)), None)]
+    table = [(i, t) for i, (t, _) in enumerate(texts)]
+    c = duckdb.connect()
+    c.register("documents", pd.DataFrame(table, columns=["doc_id", "text"]))
+    got = rows(license_index.scan(spark.createDataFrame(table, "doc_id long, text string").repartition(4)))
+    want = sorted(c.execute(license_index.oracle_sql()).fetchall())
+    assert [r[:-1] for r in got] == [r[:-1] for r in want] and np.allclose([r[-1] for r in got], [r[-1] for r in want])
+    assert all(label in r[6].split(",") and r[7] == 1.0 for r, (_, label) in zip(got, texts, strict=True) if label)
+
+
 def brute_hits(items, text):
     split = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(LOWER))
     words, hit, found = split(text), set(), set()
