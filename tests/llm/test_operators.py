@@ -78,7 +78,7 @@ def test_fragments_are_safe_on_odd_texts():
     assert list(fragments.balanced(["aa", "b", "cccc", "d"], 3)) == [["aa", "b"], ["cccc"], ["d"]]
 
 
-def test_token_store(spark, docs, none, tmp_path):
+def test_token_store(spark, docs, none, tmp_path, monkeypatch):
     t, path = library("byte_bpe_50k.json"), f"file://{tmp_path}/store"
     token_store.write_tokens(docs, path, P.path("byte_bpe_50k.json"), 2)
     got = sorted(rows(token_store.read_tokens(spark, path)), key=lambda r: r[1])
@@ -87,6 +87,11 @@ def test_token_store(spark, docs, none, tmp_path):
     assert [r[1] for r in got] == [sum(r[2] for r in got[:k]) for k in range(len(got))]
     some = rows(token_store.read_tokens(spark, path, [4, 33]))
     assert some == [r for r in rows(token_store.read_tokens(spark, path)) if r[0] in (4, 33)]
+    monkeypatch.setattr(token_store, "RANGES", 2)
+    assert rows(token_store.read_tokens(spark, path, [1, 2, 30, 31, 60, 999])) == [r for r in rows(token_store.read_tokens(spark, path)) if r[0] in (1, 2, 30, 31, 60)]
+    assert rows(token_store.read_tokens(spark, path, [])) == []
+    plan = token_store.read_tokens(spark, path, [4])._jdf.queryExecution().toString()
+    assert "LessThanOrEqual(first,4)" in plan and "GreaterThanOrEqual(last,4)" in plan  # reaches the scan
     assert rows(token_store.store_and_read(none, P.path("byte_bpe_50k.json"), 2)) == []
 
 
@@ -109,6 +114,18 @@ def test_forced_bpe(docs, none):
         assert [np.frombuffer(x, "<u4").tolist() for x in model.encode(odd)] == [e.ids for e in t.encode_batch(odd, add_special_tokens=False)]
 
 
+def test_forced_bpe_refuses_a_file_with_unknown_bytes(tmp_path):
+    import json
+
+    spec = json.loads(library("word_bpe_49k.json").to_str())
+    spec["model"]["vocab"] = {t: i for t, i in spec["model"]["vocab"].items() if "a" not in t}
+    spec["model"]["merges"] = [m for m in spec["model"]["merges"] if "a" not in "".join(m)]
+    spec["model"]["unk_token"] = "<|endoftext|>"
+    (tmp_path / "t.json").write_text(json.dumps(spec))
+    with pytest.raises(ValueError, match="has no token"):
+        forced_bpe.ForcedBPE(str(tmp_path / "t.json"))
+
+
 def test_html(spark):
     page = '<html><head><title>T</title></head><nav><a href=x>Home</a></nav><article class="post"><h1>Head &amp; line</h1><p>First <b>bold</b>\n text<br>more<p>Second<div class="comments"><p>Nice!</p></div></article><aside>Ad</aside><footer>(c)</footer>'
     pages = [(1, "u", page, "x"), (2, None, None, "x"), (3, "u", "", None), (None, "u", "<script>if (a<b) {}", "x"), (5, "u", "plain text " * 30, "x"), (1, "u", page, "x"), (6, "u", "<p>" * 5000 + "&am &lt;p&gt;" + "word " * 50, None)]

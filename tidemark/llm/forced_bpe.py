@@ -41,6 +41,7 @@ PIECE = re.compile(f"(?:(?!\u0130)[{LETTERS}])++(?![^{WHITE}.,])|[^{WHITE}]+")
 class ForcedBPE:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         tokenizer = Tokenizer.from_file(path)
         spec = json.loads(tokenizer.to_str())
@@ -53,6 +54,8 @@ class ForcedBPE:
         self.suffix: str = model.get("end_of_word_suffix") or ""
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.rank = {p: (i, p[0] + p[1]) for i, p in enumerate(pairs)}
+        if model.get("unk_token") and not all({c, c + self.suffix} <= self.vocab.keys() for c in ByteLevel.alphabet()):
+            raise ValueError("some byte has no token, and the file's token for unknown ones is not supported")
         strip = len(self.suffix)
         inner = [t[:-strip] if strip and t.endswith(self.suffix) and len(t) > strip else t for t in self.vocab]
         self.inside = {t[i : i + 2] for t in inner for i in range(len(t) - 1)}
