@@ -1,6 +1,8 @@
-"""Command line: load, sweep, import, reconcile, verify, sql, nightly.
+"""Command line: load, sweep, import, reconcile, verify, analyze, sql, nightly.
 
-Exit codes: 0 done, 1 refused by a guard or bad arguments, 2 unexpected failure (nightly: rows missing), 3 locked.
+Exit codes: 0 done, 1 refused by a guard or bad arguments, 2 unexpected failure (nightly: rows missing), 3 locked,
+128 + n for a nightly run that signal n ended. Nightly settings come from the environment too: TIDEMARK_MAX_ATTEMPTS and
+TIDEMARK_RETRY_INTERVAL_SECONDS; a value that is no such number is passed over with a warning.
 """
 
 from __future__ import annotations
@@ -9,16 +11,19 @@ import argparse
 import fcntl
 import logging
 import os
+import signal
 import sys
 import time
 from datetime import datetime, timedelta
 
 from tidemark.errors import EngineError
+from tidemark.operators import guards
 from tidemark.schema import CSV_DATE
 from tidemark.sources import feed
 
 log = logging.getLogger("tidemark")
-NIGHTLY_ATTEMPTS, NIGHTLY_PAUSE_S, TOLERATED = 3, 7200, 1000
+# Fixed values of the nightly run: attempts, and seconds between them.
+NIGHTLY_ATTEMPTS, NIGHTLY_PAUSE_S = 3, 7200
 GRAINS = ("day", "month", "year")
 
 
@@ -26,6 +31,16 @@ def _when(text: str) -> datetime:
     return datetime.fromisoformat(text)
 
 
+def setting(name: str, default: int, least: int) -> int:
+    """A whole number from the environment; a bad one is passed over with a warning."""
+    text = os.environ.get(name, "")
+    if text.isascii() and text.isdigit() and int(text) >= least:
+        return int(text)
+    if text:
+        log.warning("%s=%r is no whole number of at least %d; %d is used", name, text, least, default)
+    return default
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="tidemark")
     top.add_argument("--master")
@@ -49,14 +64,16 @@ def parser() -> argparse.ArgumentParser:
         p.add_argument("--overlap-hours", type=float, default=1.0)
         p.add_argument("--max-pages", type=int)
         p.add_argument("--dry-run", action="store_true")
-    p.add_argument("--attempts", type=int, default=NIGHTLY_ATTEMPTS)
-    p.add_argument("--pause", type=float, default=NIGHTLY_PAUSE_S)
-    p.add_argument("--lock", default="/tmp/tidemark.lock")
+    p.add_argument("--attempts", type=int, default=setting("TIDEMARK_MAX_ATTEMPTS", NIGHTLY_ATTEMPTS, 1))
+    p.add_argument("--pause", type=float, default=setting("TIDEMARK_RETRY_INTERVAL_SECONDS", NIGHTLY_PAUSE_S, 0))
+    p.add_argument("--lock", default="/tmp/tidemark.lock", help="keeps runs of one machine apart; two machines are kept apart by the store, which refuses the second writer of a version")
+    p.add_argument("--failed-marker", help="file that is there while the last night is unresolved")
     p = add("sweep", True)
     p.add_argument("--from", dest="start", type=_when)
     p.add_argument("--to", dest="end", type=_when)
     p.add_argument("--window-days", type=float, default=1.0)
     p.add_argument("--resweep", action="store_true")
+    p.add_argument("--parallel", action="store_true", help="read all windows at once, one commit")
     p.add_argument("--dry-run", action="store_true")
     p = add("import")
     p.add_argument("--csv", required=True)
@@ -67,7 +84,9 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--by", choices=GRAINS, default="month")
     p.add_argument("--from", dest="start", type=_when)
     p.add_argument("--to", dest="end", type=_when)
+    p.add_argument("--daily-audit", action="store_true")
     add("verify")
+    add("analyze")
     p = add("sql")
     p.add_argument("text", nargs="?")
     p.add_argument("--tables", help="folder of <name>.parquet to register as views")
@@ -137,25 +156,63 @@ def reconcile_run(spark, store, client, grain: str, low=None, high=None):
     return reconcile.compare(theirs, reconcile.counts(store.fact(), "Created_Date", grain, low, high))
 
 
+class Ended(BaseException):
+    """A signal asked the run to end."""
+
+
 def nightly(args, attempt, sleep=time.sleep) -> int:
-    """Lock, try, test the shortfall, and try again after a pause."""
+    """Lock, try, test the shortfall, and try again after a pause; the last attempt's reason is the exit code."""
+    marker = getattr(args, "failed_marker", None)
+
+    def ended(number, _):
+        raise Ended(number)
+
     with open(args.lock, "w") as lock:
         try:
             fcntl.flock(lock, fcntl.LOCK_EX | fcntl.LOCK_NB)
         except OSError:
             return 3
+        before = {n: signal.signal(n, ended) for n in (signal.SIGINT, signal.SIGTERM)}
         code = 1
-        for n in range(args.attempts):
-            try:
-                code = 2 if attempt() > TOLERATED else 0
-            except Exception:
-                log.exception("attempt %d failed", n + 1)
-                code = 1
-            if code == 0:
-                return 0
-            if n < args.attempts - 1:
-                sleep(args.pause)
-        return code
+        try:
+            for n in range(1, args.attempts + 1):
+                try:
+                    guards.shortfall(attempt())
+                    code = 0
+                except guards.RowsMissing as e:
+                    log.error("attempt %d/%d: %s", n, args.attempts, e)
+                    code = 2
+                except Exception:
+                    log.exception("attempt %d/%d failed", n, args.attempts)
+                    code = 1
+                if code == 0:
+                    if n > 1:
+                        log.warning("recovered: attempt %d/%d succeeded after %d that failed", n, args.attempts, n - 1)
+                    if marker and os.path.exists(marker):
+                        os.remove(marker)
+                    return 0
+                if n < args.attempts:
+                    log.info("waiting %s s before attempt %d/%d; the lock is held", args.pause, n + 1, args.attempts)
+                    sleep(args.pause)
+            log.error("all %d attempts failed; exit code %d", args.attempts, code)
+            if marker:
+                with open(marker, "w") as f:
+                    f.write(f"{datetime.now().isoformat(timespec='seconds')} all {args.attempts} attempts failed, exit code {code}\n")
+            return code
+        except Ended as e:
+            log.error("ended by signal %d", e.args[0])
+            return 128 + e.args[0]
+        finally:
+            for number, handler in before.items():
+                signal.signal(number, handler)
+
+
+def table_names(spark, folder: str) -> list[str]:
+    """Names of the <name>.parquet in a folder of any store that Spark reaches."""
+    from tidemark.shared import hadoop_path
+
+    fs, path = hadoop_path(spark, folder)
+    return sorted(n[:-8] for s in fs.listStatus(path) if (n := s.getPath().getName()).endswith(".parquet"))
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -179,19 +236,33 @@ def main(argv: list[str] | None = None) -> int:
 
             return nightly(args, attempt)
         if args.command == "sweep":
-            print(load.sweep(store, client_of(args), args.start, args.end, timedelta(days=args.window_days), args.page_size, args.resweep, args.dry_run))
+            width = timedelta(days=args.window_days)
+            if args.parallel:
+                options = {k: str(v) for k, v in {"client": args.client, "url": args.url, "token": args.app_token, "timeout": args.timeout, "page_size": args.page_size}.items() if v}
+                print(load.sweep_parallel(store, options, args.start, args.end, width, args.resweep, args.dry_run))
+            else:
+                print(load.sweep(store, client_of(args), args.start, args.end, width, args.page_size, args.resweep, args.dry_run))
         elif args.command == "import":
             print(load.import_csv(store, args.csv, args.date_format, args.max_rows, args.truncate))
         elif args.command == "reconcile":
-            print(reconcile.report(f"by {args.by}", reconcile_run(spark, store, client_of(args), args.by, args.start, args.end)))
+            compared = reconcile_run(spark, store, client_of(args), args.by, args.start, args.end).cache()
+            print(reconcile.report(f"by {args.by}", compared))
+            if args.daily_audit:
+                print(reconcile.daily_audit(compared))
+            print(reconcile.shortfall_line(reconcile.totals(compared).first()["short"], datetime.now()))
         elif args.command == "verify":
             verify.orphan_checks(store.fact(), store.dims()).show(20, False)
             verify.load_profile(store.fact()).show(1, False, True)
+        elif args.command == "analyze":
+            m = store.manifest()
+            for column, values in store.analyze(m).items():
+                print(column, values)
+            store.publish(m)
         else:
             if store:
-                store.analyze()
+                store.register_views()
             if args.tables:
-                register_tables(spark, args.tables, sorted(n[:-8] for n in os.listdir(args.tables) if n.endswith(".parquet")))
+                register_tables(spark, args.tables, table_names(spark, args.tables))
             for df in run_sql(spark, args.text or sys.stdin.read()):
                 df.show(100, False)
         return 0

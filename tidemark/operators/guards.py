@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,14 +11,22 @@ from tidemark.errors import EngineError
 from tidemark.functions import expr
 from tidemark.schema import COLUMNS, CSV_DATE, DIMENSIONS
 
+log = logging.getLogger(__name__)
+
 
-def batch_sanity(batch: DataFrame, key: str = "Unique_Key", created: str = "Created_Date") -> dict:
-    """Refuses a batch in which no row has a creation date, or any row lacks its key. An empty batch passes."""
-    m = batch.agg(F.count("*").alias("rows"), F.count(created).alias("dated"), F.count_if(F.col(key).isNull()).alias("keyless")).first().asDict()
+def batch_sanity(batch: DataFrame, key: str = "Unique_Key", created: str = "Created_Date", changed: str | None = None) -> dict:
+    """Refuses a batch in which no row has a creation date, or any row lacks its key; warns if some lack the date. An
+    empty batch passes. With ``changed``, a batch without any change stamp is refused, and ``newest`` is its greatest."""
+    stamps = [F.max(changed).alias("newest")] if changed else []
+    m = batch.agg(F.count("*").alias("rows"), F.count(created).alias("dated"), F.count_if(F.col(key).isNull()).alias("keyless"), *stamps).first().asDict()
+    if changed and m["rows"] and m["newest"] is None:
+        raise EngineError("no row of the batch carries a change stamp")
     if m["keyless"]:
         raise EngineError(f"{m['keyless']} rows have no {key}")
     if m["rows"] and not m["dated"]:
         raise EngineError(f"none of {m['rows']} rows has a {created}: the feed's answer is not to be trusted")
+    if m["dated"] < m["rows"]:
+        log.warning("%d of %d rows have no %s", m["rows"] - m["dated"], m["rows"], created)
     return m
 
 
@@ -62,14 +72,33 @@ def dimension_names(dim: DataFrame) -> None:
 
 
 def referenced(fact: DataFrame, dims: dict[str, DataFrame]) -> None:
-    """Refuses ids that name no row of their dimension."""
-    from tidemark.operators.verify import orphans
+    """Refuses ids that name no row of their dimension; one pass over ``fact``."""
+    from tidemark.operators.verify import orphan_counts
+
+    counts = orphan_counts(fact, dims).first().asDict()
+    if bad := {k: n for k, n in counts.items() if n}:
+        raise EngineError(f"ids that no dimension has: {bad}")
+
+
+def commit(stamped: DataFrame, dims: dict[str, DataFrame], key: str = "Unique_Key") -> None:
+    """What a commit must keep to, in one pass: one row a key, names with ids, ids that their dimension has."""
+    from tidemark.operators.verify import orphan_counts
+
+    more = [F.count_if(F.col(t).isNotNull() & F.col(i).isNull()).alias(f"unmapped {i}") for t, _, _, i in DIMENSIONS if t in stamped.columns]
+    counts = orphan_counts(stamped, dims, (*more, (F.count("*") - F.countDistinct(key)).alias(f"repeated {key}"))).first().asDict()
+    if bad := {k: n for k, n in counts.items() if n}:
+        raise EngineError(f"rows that must not be stored: {bad}")
+
+
+class RowsMissing(EngineError):
+    """The source has rows that are not in the store."""
+
 
-    for _, dim, _, i in DIMENSIONS:
-        if n := orphans(fact, dims[dim], i).count():
-            raise EngineError(f"{n} rows have an {i} that {dim} lacks")
+#: Fixed value: rows that may be missing after a load.
+TOLERATED = 1000
 
 
-def shortfall(short: int, limit: int = 1000) -> None:
+def shortfall(short: int, limit: int = TOLERATED) -> None:
+    """Refuses a load after which more rows are missing than are tolerated."""
     if short > limit:
-        raise EngineError(f"{short} rows are missing; {limit} are tolerated")
+        raise RowsMissing(f"{short} rows are missing; {limit} are tolerated")

@@ -1,8 +1,8 @@
 """Loads into the store: by changes, by windows of creation time, and from a bulk export.
 
 Rows and progress are published together, so progress is never ahead of what is stored, and a run that fails keeps
-what its finished commits brought. Unlike a loader that commits a drained group as it comes, a drain is counted
-before any of it is published.
+what its finished commits brought. A drained group is counted, and put aside in the store's spool answer by answer,
+before it is published as one commit.
 """
 
 from __future__ import annotations
@@ -13,10 +13,10 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemark.errors import EngineError
+from tidemark.functions.expr import parse_iso
 from tidemark.operators import guards, lookups, merge
 from tidemark.operators.store import Manifest, SnapshotStore
 from tidemark.operators.transform import csv_transform, feed_transform
@@ -29,23 +29,50 @@ DEFAULT_SINCE = datetime(2020, 1, 1)
 _BATCH = StructType([*FEED.fields, StructField("seq", LongType())])
 
 
-def rows_to_df(spark: SparkSession, rows: list[dict]) -> DataFrame:
+def rows_to_df(spark: SparkSession, rows: list[dict], first: int = 0) -> DataFrame:
     text = lambda v: v if v is None or isinstance(v, str) else json.dumps(v)
-    return spark.createDataFrame([(*[text(r.get(f)) for f in (*FEED_FIELDS, CHANGED)], n) for n, r in enumerate(rows)], _BATCH)
+    return spark.createDataFrame([(*[text(r.get(f)) for f in (*FEED_FIELDS, CHANGED)], n) for n, r in enumerate(rows, first)], _BATCH)
+
+
+class Parts:
+    """Rows of one commit, answer by answer: the driver holds one answer, further ones are written to the spool."""
+
+    def __init__(self, store: SnapshotStore):
+        self.store, self.folders, self.held, self.rows = store, [], None, 0
+
+    def add(self, rows: list[dict]) -> Parts:
+        df = rows_to_df(self.store.spark, rows, self.rows)
+        self.rows += len(rows)
+        if self.held is None and not self.folders:
+            self.held = df
+            return self
+        if self.held is not None:
+            self.folders.append(self.store.spool(self.held.coalesce(1)))
+            self.held = None
+        self.folders.append(self.store.spool(df.coalesce(1)))
+        return self
+
+    def df(self) -> DataFrame:
+        return self.held if self.held is not None else self.store.spark.read.schema(_BATCH).parquet(*self.folders)
+
+    def close(self) -> None:
+        self.store.unspool(self.folders)
+        self.folders, self.held, self.rows = [], None, 0
 
 
-def extend_and_stamp(store: SnapshotStore, m: Manifest, rows: DataFrame) -> DataFrame:
-    """Append unseen names to the draft's dimensions and stamp ids on the rows; an absent text column is null."""
+def extend_and_stamp(store: SnapshotStore, m: Manifest, rows: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Append unseen names to the draft's dimensions and stamp ids on the rows; an absent text column is null. Returns
+    the rows and the dimensions."""
     rows = rows.withColumns({t: F.lit(None).cast("string") for t, *_ in DIMENSIONS if t not in rows.columns})
+    dims = {name: lookups.sized(store.dim(name, m)) for _, name, _, _ in DIMENSIONS}
+    unseen = lookups.unseen_names(rows, [(text, dims[name]) for text, name, _, _ in DIMENSIONS])
     for text, name, _, _ in DIMENSIONS:
-        dim = store.dim(name, m)
-        if lookups.missing_names(rows, text, dim).limit(1).count():
-            extended = lookups.extend_dim(rows, text, dim)
-            guards.dimension_names(extended)
+        if text in unseen:
+            extended = lookups.extend_dim(rows, text, dims[name])
             store.write_dim(m, name, extended)
-    stamped = lookups.stamp_ids(rows, [(F.col(text), store.dim(name, m), i) for text, name, _, i in DIMENSIONS])
-    guards.resolved(stamped)
-    return stamped
+            guards.dimension_names(store.dim(name, m))
+            dims[name] = lookups.sized(store.dim(name, m))
+    return lookups.stamp_ids(rows, [(F.col(text), dims[name], i) for text, name, _, i in DIMENSIONS]), dims
 
 
 def apply_batch(store: SnapshotStore, m: Manifest, feed: DataFrame, dry_run: bool = False) -> dict:
@@ -53,87 +80,131 @@ def apply_batch(store: SnapshotStore, m: Manifest, feed: DataFrame, dry_run: boo
     typed = feed_transform(feed, extra=("seq",) if "seq" in feed.columns else ())
     if "seq" not in typed.columns:
         typed = typed.withColumn("seq", F.monotonically_increasing_id())
-    typed = typed.cache()  # a batch is a page or a window; all checks and the merge see the same rows
+    typed = typed.cache()  # a batch is a page, a group or a window; all checks and the merge see the same rows
+    ready = None
     try:
-        measures = guards.batch_sanity(typed)
-        top = typed.agg(F.max("changed")).first()[0]
-        if measures["rows"] and top is None:
-            raise EngineError("no row of the batch carries a change stamp")
+        measures = guards.batch_sanity(typed, changed="changed")
         counts = {"inserted": 0, "updated": 0, "unchanged": 0, "affected": 0}
         if not dry_run and measures["rows"]:
             last = merge.last_wins(typed, "Unique_Key", "changed", "seq").drop("changed", "seq")
-            counts = store.upsert(m, extend_and_stamp(store, m, last).select(*FEED_TARGETS))
-        return counts | {"rows": measures["rows"], "newest": top}
+            stamped, dims = extend_and_stamp(store, m, last)
+            ready = stamped.select(*FEED_TARGETS).cache()
+            guards.commit(ready, dims)
+            counts = store.upsert(m, ready)
+        return counts | {"rows": measures["rows"], "newest": measures["newest"]}
     finally:
         typed.unpersist()
+        if ready is not None:
+            ready.unpersist()
 
 
+@feeds.timed("incremental load")
 def incremental(store: SnapshotStore, client, since: datetime | None = None, default_since: datetime = DEFAULT_SINCE, overlap: timedelta = feeds.OVERLAP, page_size: int = feeds.PAGE_SIZE, max_pages: int | None = None, dry_run: bool = False, **options) -> dict:
-    """Read all changes from the high-water mark less ``overlap`` on; each batch is one commit with its mark.
+    """Read all changes from the high-water mark less ``overlap`` on. Each page, and each drained group as a whole, is
+    one commit with its mark: the greatest stamp of which no row is still to come, so a run that fails anywhere is taken
+    up without a gap, whatever the overlap.
 
     ``since`` is used instead of the mark, which is still written; the mark never goes back."""
     m = store.manifest()
     mark = datetime.fromisoformat(m.watermark) if m.watermark else None
     start = since or (mark - overlap if mark else default_since)
     try:
-        if (top := feeds.newest_change(client, options.get("probes", feeds.PROBES))) and mark:
+        if (top := feeds.newest_change(client, 1)) and mark:
             log.info("the feed is %s ahead", top - mark)
     except Exception as e:  # a report only
         log.warning("the feed's newest change is not known: %s", e)
-    total = {"rows": 0, "affected": 0, "commits": 0, "watermark": m.watermark}
-    for batch in feeds.changes(client, start, page_size, max_pages, **options):
-        m = store.manifest()
-        done = apply_batch(store, m, rows_to_df(store.spark, batch), dry_run)
-        total["rows"] += done["rows"]
-        total["affected"] += done["affected"]
-        if not dry_run:
-            mark = max(filter(None, [mark, done["newest"]]))
-            m.watermark, m.rows_run, m.rows_total = mark.isoformat(timespec="milliseconds"), total["rows"], m.rows_total + done["rows"]
-            store.publish(m)
-            total["commits"] += 1
-            total["watermark"] = m.watermark
+    total, parts = {"rows": 0, "affected": 0, "commits": 0, "watermark": m.watermark}, Parts(store)
+    try:
+        for batches, whole in feeds.steps(client, start, page_size, max_pages, keep=parts.add, **options):
+            for rows in batches:
+                if rows is not parts:  # a drained group's are there already
+                    parts.add(rows)
+            m = store.manifest()
+            done = apply_batch(store, m, parts.df(), dry_run)
+            total["rows"] += done["rows"]
+            total["affected"] += done["affected"]
+            if not dry_run:
+                mark = max(filter(None, [mark, whole]), default=None)
+                m.watermark, m.rows_run, m.rows_total = mark and mark.isoformat(timespec="milliseconds"), total["rows"], m.rows_total + done["rows"]
+                store.publish(m)
+                total["commits"] += 1
+                total["watermark"] = m.watermark
+            parts.close()
+    finally:
+        parts.close()
     return total
 
 
+def _finished(m: Manifest, resweep: bool) -> set:
+    return set() if resweep else {(datetime.fromisoformat(a), datetime.fromisoformat(b)) for a, b, *_ in m.ledger}
+
+
+def _enter(m: Manifest, lo: datetime, hi: datetime, rows: int) -> None:
+    key = [lo.isoformat(), hi.isoformat()]
+    m.ledger = [e for e in m.ledger if e[:2] != key] + [[*key, rows, datetime.now().isoformat(timespec="seconds")]]
+
+
+@feeds.timed("sweep")
 def sweep(store: SnapshotStore, client, start: datetime, end: datetime, width: timedelta = feeds.WINDOW, page_size: int = feeds.PAGE_SIZE, resweep: bool = False, dry_run: bool = False) -> dict:
     """Read every row created in [start, end) window by window; finished windows are skipped. One window is one
     commit with its ledger entry, an empty one too. The high-water mark stays."""
-    m = store.manifest()
-    done = set() if resweep else {(datetime.fromisoformat(a), datetime.fromisoformat(b)) for a, b, *_ in m.ledger}
-    total = {"windows": 0, "skipped": 0, "rows": 0, "affected": 0}
-    every = feeds.sweep_windows(start, end, width)
-    for lo, hi in every:
-        if (lo, hi) in done:
-            total["skipped"] += 1
-            continue
-        rows = [r for *_, part in feeds.window_rows(client, lo, hi, page_size) for r in part]
-        m = store.manifest()
-        got = apply_batch(store, m, rows_to_df(store.spark, rows), dry_run) if rows else {"rows": 0, "affected": 0}
-        total = total | {"windows": total["windows"] + 1, "rows": total["rows"] + got["rows"], "affected": total["affected"] + got["affected"]}
-        if not dry_run:
-            key = [lo.isoformat(), hi.isoformat()]
-            m.ledger = [e for e in m.ledger if e[:2] != key] + [[*key, got["rows"], datetime.now().isoformat(timespec="seconds")]]
-            store.publish(m)
+    done = _finished(store.manifest(), resweep)
+    total, parts = {"windows": 0, "skipped": 0, "rows": 0, "affected": 0}, Parts(store)
+    try:
+        for lo, hi in feeds.sweep_windows(start, end, width):
+            if (lo, hi) in done:
+                total["skipped"] += 1
+                continue
+            for *_, rows in feeds.window_rows(client, lo, hi, page_size):
+                parts.add(rows)
+            m = store.manifest()
+            got = apply_batch(store, m, parts.df(), dry_run) if parts.rows else {"rows": 0, "affected": 0}
+            total = total | {"windows": total["windows"] + 1, "rows": total["rows"] + got["rows"], "affected": total["affected"] + got["affected"]}
+            if not dry_run:
+                _enter(m, lo, hi, got["rows"])
+                store.publish(m)
+            parts.close()
+    finally:
+        parts.close()
     return total
 
 
-def sweep_parallel(store: SnapshotStore, options: dict) -> dict:
-    """The whole range as one distributed read and one commit: a partition for each window asks the feed itself."""
+@feeds.timed("parallel sweep")
+def sweep_parallel(store: SnapshotStore, options: dict, start: datetime, end: datetime, width: timedelta = feeds.WINDOW, resweep: bool = False, dry_run: bool = False) -> dict:
+    """The unfinished windows of [start, end) as one distributed read and one commit: each asks the feed from where its
+    task runs. The ledger gets an entry for each window, as from ``sweep``."""
     from tidemark.sources.spark_feed import register
 
     register(store.spark)
-    rows = store.spark.read.format("tidemark_feed").options(**options).load()
     m = store.manifest()
-    got = apply_batch(store, m, rows)
-    m.ledger.append([options["from"], options["to"], got["rows"], datetime.now().isoformat(timespec="seconds")])
-    store.publish(m)
-    return got
+    every = feeds.sweep_windows(start, end, width)
+    pending = feeds.sweep_windows(start, end, width, _finished(m, resweep))
+    total = {"windows": len(pending), "skipped": len(every) - len(pending), "rows": 0, "affected": 0}
+    if not pending:
+        return total
+    bounds = json.dumps([[a.isoformat(), b.isoformat()] for a, b in pending])
+    read = store.spark.read.format("tidemark_feed").options(**options, windows=bounds).load()
+    folder = store.spool(read.repartition(min(len(pending), 64)))  # the feed is asked once
+    try:
+        rows = store.spark.read.schema(FEED).parquet(folder)
+        got = apply_batch(store, m, rows, dry_run)
+        seconds = F.timestamp_diff("SECOND", F.lit(start).cast("timestamp_ntz"), parse_iso(F.col("created_date")))
+        n = {r["nth"]: r["n"] for r in rows.groupBy(F.floor(seconds / F.lit(width.total_seconds())).alias("nth")).agg(F.count("*").alias("n")).collect()}  # a row for each window
+        if not dry_run:
+            for nth, (lo, hi) in enumerate(every):
+                if (lo, hi) in set(pending):
+                    _enter(m, lo, hi, n.get(nth, 0))
+            store.publish(m)
+        return total | {"rows": got["rows"], "affected": got["affected"]}
+    finally:
+        store.unspool([folder])
 
 
+@feeds.timed("import")
 def import_csv(store: SnapshotStore, path: str, date_format: str | None = None, max_rows: int | None = None, truncate: bool = False) -> dict:
     """Load an export in one commit. The dimension ids are stamped in the same pass."""
-    from tidemark.schema import CSV_DATE
     from tidemark.operators.transform import normalize_headers, require_columns
+    from tidemark.schema import CSV_DATE
     from tidemark.sources.csv import read_text_csv
 
     raw = normalize_headers(read_text_csv(store.spark, path, max_rows))
@@ -145,9 +216,10 @@ def import_csv(store: SnapshotStore, path: str, date_format: str | None = None,
     rows = csv_transform(raw, date_format or CSV_DATE).cache()
     try:
         measures = guards.batch_sanity(rows)
-        guards.primary_key(rows)
         guards.column_filled(rows)
-        store.append(m, extend_and_stamp(store, m, rows))
+        stamped, dims = extend_and_stamp(store, m, rows)
+        guards.commit(stamped, dims)
+        store.append(m, stamped)
         m.rows_run, m.rows_total = measures["rows"], (0 if truncate else m.rows_total) + measures["rows"]
         store.publish(m)
         return measures

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.expr import match_key
+from tidemark.shared import free_name
 
 #: Names of a dimension up to which one is sent to all executors; its rows are counted before.
 BROADCAST_NAMES = 65_535
@@ -31,6 +34,14 @@ def missing_names(df: DataFrame, column: str, dim: DataFrame) -> DataFrame:
     return distinct_names(df, column).join(known, "key", "left_anti")
 
 
+def unseen_names(df: DataFrame, dims: list[tuple[str, DataFrame]]) -> set[str]:
+    """The text columns that hold a name which their dimension lacks; one pass over ``df``."""
+    names = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("name")) for c, _ in dims]))).where("name IS NOT NULL")
+    names = names.select("column", match_key(F.col("name")).alias("key")).distinct()
+    known = reduce(DataFrame.union, [dim.select(F.lit(c).alias("column"), match_key(F.col("name")).alias("key")) for c, dim in dims])
+    return {r[0] for r in names.join(known, ["column", "key"], "left_anti").select("column").distinct().collect()}  # a row for each column
+
+
 def extend_dim(df: DataFrame, column: str, dim: DataFrame) -> DataFrame:
     """The dimension with unseen names appended after its highest id; ids given before never change."""
     after = dim.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
@@ -38,14 +49,17 @@ def extend_dim(df: DataFrame, column: str, dim: DataFrame) -> DataFrame:
 
 
 def sized(dim: DataFrame, limit: int = BROADCAST_NAMES) -> DataFrame:
-    """The dimension marked for broadcast if it has ``limit`` rows at most; else as it is, for a shuffled join."""
-    return F.broadcast(dim) if dim.limit(limit + 1).count() <= limit else dim
+    """The dimension's rows marked for broadcast if there are ``limit`` at most; else as it is, for a shuffled join.
+    Its plan runs once: the rows that were counted are those that are sent."""
+    rows = dim.limit(limit + 1).toArrow()  # bounded
+    return F.broadcast(dim.sparkSession.createDataFrame(rows, dim.schema)) if rows.num_rows <= limit else dim
 
 
 def stamp_ids(fact: DataFrame, dims: list[tuple[Column, DataFrame, str]], how: str = "left") -> DataFrame:
     """``fact`` with an id column for each (text column, dimension, id name). All joins sit in one stage while the
     dimensions are small; a null name has a null id."""
-    for n, (text, dim, name) in enumerate(dims):
-        side = sized(dim.select(match_key(F.col("name")).alias(f"key_{n}"), F.col("id").alias(name)))
-        fact = fact.drop(name).join(side, match_key(text) == F.col(f"key_{n}"), how).drop(f"key_{n}")
+    for text, dim, name in dims:
+        key = free_name([*fact.columns, name], "td_key")
+        side = sized(dim.select(match_key(F.col("name")).alias(key), F.col("id").alias(name)))
+        fact = fact.drop(name).join(side, match_key(text) == F.col(key), how).drop(key)
     return fact

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,9 +38,33 @@ def totals(compared: DataFrame) -> DataFrame:
 
 
 def report(title: str, compared: DataFrame) -> str:
-    """The comparison as text, periods in order, with a totals row."""
-    lines = [title, f"{'period':<12}{'source':>14}{'ours':>14}{'diff':>12}"]
-    for r in compared.orderBy("period").collect():
-        lines.append(f"{r['period']:<12}{r['source']:>14,}{r['ours']:>14,}{r['difference']:>12,}  {r['flag']}".rstrip())
+    """The comparison as text, periods in order, with a total row; diff is ours less the source."""
+    # The layout of the report, which other programs read.
+    rule = "-" * 46
+    lines = [title, f"{'period':<12}{'API':>12}{'DB':>12}{'diff':>10}", rule]
+    rows = compared.orderBy("period").collect()
+    for r in rows:
+        lines.append(f"{r['period']:<12}{r['source']:>12,}{r['ours']:>12,}{-r['difference']:>+10,}" + (f"  {r['flag']}" if r["flag"] else ""))
+    source, ours = (sum(r[c] for r in rows) for c in ("source", "ours"))
+    return "\n".join([*lines, rule, f"{'total':<12}{source:>12,}{ours:>12,}{ours - source:>+10,}"])
+
+
+def shortfall_line(short: int, now: datetime) -> str:
+    """The last line of a run, which the nightly run reads."""
+    return f"checked at {now.isoformat(timespec='seconds')}; total DB shortfall across periods: {short:,}"
+
+
+def key_union(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Distinct keys of either side (one column each)."""
+    return a.union(b).distinct()
+
+
+def key_difference(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Distinct keys of ``a`` that ``b`` lacks."""
+    return a.exceptAll(b.distinct()).distinct()
+
+
+def daily_audit(compared: DataFrame) -> str:
+    """Days compared and differing, rows short and extra, and both totals."""
     t = totals(compared).first()
-    return "\n".join([*lines, f"{'TOTAL':<12}{t['source']:>14,}{t['ours']:>14,}{t['source'] - t['ours']:>12,}", f"shortfall: {t['short']:,} rows"])
+    return f"days compared: {t['periods']}\ndays differing: {t['differing']}\nrows short: {t['short']:,}; rows extra: {t['extra']:,}\ntotal: source {t['source']:,}, ours {t['ours']:,}"

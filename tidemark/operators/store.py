@@ -1,10 +1,15 @@
 """A versioned Parquet store in which rows and progress become visible in one step.
 
-``data/<version>/month=<yyyy-MM>`` holds partitions of the fact by creation month; ``dims/<version>/<name>`` the
-dimensions; ``manifest/<version>.json`` names, for each month and dimension, the folder that is current, with the
-high-water mark, the sweep ledger and the run's counts. Readers open the highest manifest. A version is published
-by renaming its manifest into place, which fails if another writer took the number; what a crashed run wrote before
-stays unseen. An upsert rewrites only the months that hold incoming keys, or get incoming rows.
+``data/<version>/month=<yyyy-MM>`` holds base parts of the fact by creation month, sorted by key; ``layers/<version>``
+what later commits changed, whole rows; ``dims/<version>/<name>`` the dimensions; ``manifest/<version>.json`` names the
+parts of each month with their span of keys, the layers in order, and the current dimensions, with the high-water mark,
+the sweep ledger and the run's counts. Readers open the highest manifest. A version is published by renaming its
+manifest into place, which fails if another writer took the number; what a crashed run wrote before stays unseen.
+
+An upsert reads only parts whose span holds an incoming key and writes only the changed rows, as a new layer; no file
+that is there is rewritten. A row is the one of the last layer that has its key, else the base's. When layers hold over
+``COMPACTED`` of the base's rows, or are many, the months that they touch are rewritten, and only these. The engine
+sizes files by bytes (adaptive rebalancing), so their number follows the data.
 """
 
 from __future__ import annotations
@@ -18,15 +23,21 @@ from pyspark.sql import functions as F
 
 from tidemark.errors import EngineError
 from tidemark.operators import merge
-from tidemark.schema import DIMENSIONS, FACT
+from tidemark.schema import DIMENSIONS, FACT, FORMAT
+from tidemark.shared import free_name
 
 NO_MONTH = "none"
+KEY = "Unique_Key"
+#: Share of the base's rows (and rows at least) that layers may hold, and layers, before they are merged into the base.
+COMPACTED, COMPACTED_ROWS, MAX_LAYERS = 0.1, 100_000, 32
 
 
 @dataclass
 class Manifest:
     version: int = 0
-    months: dict[str, str] = field(default_factory=dict)
+    format: int = FORMAT
+    months: dict[str, list[dict]] = field(default_factory=dict)  # month -> parts: path, lo, hi (keys), rows
+    layers: list[dict] = field(default_factory=list)  # path, rows; later ones win
     dims: dict[str, str] = field(default_factory=dict)
     watermark: str | None = None
     rows_run: int = 0
@@ -34,12 +45,22 @@ class Manifest:
     last_run_at: str | None = None
     ledger: list[list] = field(default_factory=list)  # [lo, hi, rows, completed at]
     batch_id: int | None = None
+    statistics: dict[str, dict] = field(default_factory=dict)
+
+    def rows(self) -> int:
+        """Rows of the base."""
+        return sum(p["rows"] for parts in self.months.values() for p in parts)
 
 
 def month(created="Created_Date"):
     return F.coalesce(F.date_format(created, "yyyy-MM"), F.lit(NO_MONTH))
 
 
+def as_fact(rows: DataFrame) -> DataFrame:
+    """The fact's columns in order, absent ones as nulls."""
+    return rows.select(*[F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in FACT])
+
+
 class SnapshotStore:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
@@ -51,15 +72,21 @@ class SnapshotStore:
     def _path(self, below: str):
         return self._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{below}" if below else self.path)
 
+    def _folder(self, kind: str, m: Manifest) -> str:
+        return f"{kind}/{m.version + 1}-{self._jvm.java.util.UUID.randomUUID()}"
+
     def manifest(self) -> Manifest:
         numbers = [int(n[:-5]) for s in self._fs.listStatus(self._path("manifest")) if (n := s.getPath().getName()).endswith(".json") and n[:-5].isdigit()]
         if not numbers:
             return Manifest()
         stream = self._fs.open(self._path(f"manifest/{max(numbers)}.json"))
         try:
-            return Manifest(**json.loads(self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")))
+            read = json.loads(self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
         finally:
             stream.close()
+        if read.get("format") != FORMAT:
+            raise EngineError(f"the store has format {read.get('format')}; this engine reads {FORMAT}")
+        return Manifest(**read)
 
     def publish(self, m: Manifest) -> Manifest:
         m.version += 1
@@ -77,60 +104,148 @@ class SnapshotStore:
             raise EngineError(f"version {m.version} was published by another writer") from e
         return m
 
+    # reading
+
+    def _read(self, paths: list[str]) -> DataFrame:
+        return self.spark.read.schema(FACT).parquet(*[f"{self.path}/{p}" for p in paths]) if paths else self.spark.createDataFrame([], FACT)
+
+    def _latest(self, m: Manifest) -> DataFrame | None:
+        """The last row of each key in the layers."""
+        if not m.layers:
+            return None
+        seq = free_name([f.name for f in FACT], "td_seq")
+        out = None
+        for n, layer in enumerate(m.layers):
+            rows = self._read([layer["path"]]).withColumn(seq, F.lit(n))
+            out = rows if out is None else out.union(rows)
+        return (out if len(m.layers) == 1 else merge.last_wins(out, KEY, seq)).drop(seq)
+
+    def _over(self, base: DataFrame, latest: DataFrame | None) -> DataFrame:
+        return base if latest is None else base.join(latest.select(KEY), KEY, "left_anti").select(*base.columns)
+
     def fact(self, m: Manifest | None = None, months: list[str] | None = None) -> DataFrame:
-        """Current rows, of some months only if named: other months' files are not even listed."""
+        """Current rows, of some months only if named: other months' base files are not even listed."""
         m = m or self.manifest()
-        paths = [f"{self.path}/{p}" for k, p in sorted(m.months.items()) if months is None or k in months]
-        return self.spark.read.schema(FACT).parquet(*paths) if paths else self.spark.createDataFrame([], FACT)
+        latest = self._latest(m)
+        base = self._over(self._read([p["path"] for k, parts in sorted(m.months.items()) if months is None or k in months for p in parts]), latest)
+        if latest is None:
+            return base
+        return base.unionByName(latest if months is None else latest.where(month().isin(list(months))))
 
     def dim(self, name: str, m: Manifest | None = None) -> DataFrame:
         m = m or self.manifest()
         return self.spark.read.schema("id int, name string").parquet(f"{self.path}/{m.dims[name]}") if name in m.dims else self.spark.createDataFrame([], "id int, name string")
 
+    def dims(self, m: Manifest | None = None) -> dict[str, DataFrame]:
+        m = m or self.manifest()
+        return {name: self.dim(name, m) for _, name, _, _ in DIMENSIONS}
+
+    def state(self, m: Manifest | None = None) -> DataFrame:
+        """One row: version, watermark, rows of the last run and of all, windows in the ledger."""
+        m = m or self.manifest()
+        return self.spark.createDataFrame([(m.version, m.watermark, m.rows_run, m.rows_total, len(m.ledger))], "version long, watermark string, rows_run long, rows_total long, windows long")
+
+    def ledger(self, m: Manifest | None = None) -> DataFrame:
+        """lo, hi, rows of each finished window."""
+        m = m or self.manifest()
+        return self.spark.createDataFrame([(datetime.fromisoformat(a), datetime.fromisoformat(b), n) for a, b, n, _ in m.ledger], "lo timestamp_ntz, hi timestamp_ntz, rows long")
+
+    # writing into a draft of the next manifest; nothing is visible before it is published
+
     def write_dim(self, m: Manifest, name: str, df: DataFrame) -> None:
-        folder = f"dims/{m.version + 1}-{self._jvm.java.util.UUID.randomUUID()}/{name}"
+        folder = f"{self._folder('dims', m)}/{name}"
         df.coalesce(1).write.parquet(f"{self.path}/{folder}")
         m.dims[name] = folder
 
-    def _write_months(self, rows: DataFrame, m: Manifest, touched: set[str]) -> None:
-        folder = f"data/{m.version + 1}-{self._jvm.java.util.UUID.randomUUID()}"
-        rows.withColumn("month", month()).repartition("month", F.pmod(F.xxhash64("Unique_Key"), F.lit(8))).sortWithinPartitions("month", "Created_Date").write.partitionBy("month").parquet(f"{self.path}/{folder}")
-        written = {s.getPath().getName().removeprefix("month=") for s in self._fs.listStatus(self._path(folder)) if s.isDirectory()}
-        for k in touched - written:
-            m.months.pop(k, None)
-        m.months.update({k: f"{folder}/month={k}" for k in written})
+    def _holding(self, m: Manifest, keys: DataFrame) -> tuple[list[str], tuple | None]:
+        """Paths of base parts whose span of keys holds one of ``keys``, and the least and greatest of these."""
+        parts = [p for month_parts in m.months.values() for p in month_parts]
+        within = [F.count_if(F.col(KEY).between(p["lo"], p["hi"])).alias(f"p{n}") for n, p in enumerate(parts)]
+        lo, hi, *counts = keys.agg(F.min(KEY), F.max(KEY), *within).first()
+        return [p["path"] for p, n in zip(parts, counts, strict=True) if n], None if lo is None else (lo, hi)
+
+    def there(self, m: Manifest, keys: DataFrame) -> DataFrame:
+        """Current rows of ``keys``: only parts and row groups whose span may hold one are read."""
+        keys = keys.select(KEY)
+        paths, span = self._holding(m, keys)
+        latest = self._latest(m)
+        base = self._read(paths if span else [])
+        if span:
+            base = base.where(F.col(KEY).between(*span))
+        base = self._over(base.join(keys, KEY, "left_semi").select(*base.columns), latest)
+        return base if latest is None else base.unionByName(latest.join(keys, KEY, "left_semi").select(*base.columns))
+
+    def _write_months(self, rows: DataFrame, m: Manifest) -> dict[str, list[dict]]:
+        """Write base parts by month and return them."""
+        folder = self._folder("data", m)
+        rows.withColumn("month", month()).hint("rebalance", "month").sortWithinPartitions("month", KEY).write.partitionBy("month").parquet(f"{self.path}/{folder}")
+        written = sorted(s.getPath().getName().removeprefix("month=") for s in self._fs.listStatus(self._path(folder)) if s.isDirectory())
+        if not written:
+            return {}
+        spans = self._read([f"{folder}/month={k}" for k in written]).groupBy(month().alias("m")).agg(F.min(KEY).alias("lo"), F.max(KEY).alias("hi"), F.count("*").alias("rows"))
+        return {r["m"]: [{"path": f"{folder}/month={r['m']}", "lo": r["lo"], "hi": r["hi"], "rows": r["rows"]}] for r in spans.collect()}  # a row for each month
 
     def upsert(self, m: Manifest, incoming: DataFrame) -> dict:
-        """Merge ``incoming`` (one row a key, staged) into a draft of the next manifest; nothing is visible yet.
-
-        Touched months: those of incoming rows, and those that hold incoming keys now. Returns the counts."""
-        keys = incoming.select("Unique_Key")
-        touched = {r[0] for r in incoming.select(month().alias("m")).distinct().collect()}
-        if m.months:
-            touched |= {r[0] for r in self.fact(m).select("Unique_Key", "Created_Date").join(keys, "Unique_Key", "left_semi").select(month().alias("m")).distinct().collect()}
-        existing = self.fact(m, list(touched))
-        counts = merge.affected(existing.select(*incoming.columns), incoming, "Unique_Key").first().asDict()
-        if counts["inserted"] or counts["updated"]:
-            self._write_months(merge.upsert(existing, incoming, "Unique_Key"), m, touched)
+        """Merge ``incoming`` (one row a key, cached or staged) as a new layer of its changed rows; returns the counts.
+
+        A column that ``incoming`` lacks keeps its value."""
+        changed = merge.changes(self.there(m, incoming), incoming, KEY).cache()  # as many rows as come in
+        try:
+            counts = merge.tally(changed).first().asDict()
+            if n := counts["inserted"] + counts["updated"]:
+                folder = self._folder("layers", m)
+                as_fact(changed.where("td_kind != 's'")).hint("rebalance").sortWithinPartitions(KEY).write.parquet(f"{self.path}/{folder}")
+                m.layers.append({"path": folder, "rows": n})
+        finally:
+            changed.unpersist()
+        if len(m.layers) > MAX_LAYERS or sum(layer["rows"] for layer in m.layers) > max(COMPACTED_ROWS, COMPACTED * m.rows()):
+            self.compact(m)
         return counts
 
+    def compact(self, m: Manifest) -> None:
+        """Merge the layers into the base: months that lose or get a row are rewritten, others stay as they are."""
+        if (latest := self._latest(m)) is None:
+            return
+        paths, _ = self._holding(m, latest)
+        touched = {r[0] for r in latest.select(month().alias("m")).distinct().collect()}
+        old = self._read(paths).select(KEY, "Created_Date").join(latest.select(KEY), KEY, "left_semi")
+        touched |= {r[0] for r in old.select(month().alias("m")).distinct().collect()}
+        made = self._write_months(self.fact(m, sorted(touched)), m)
+        m.months = {k: parts for k, parts in m.months.items() if k not in touched} | made
+        m.layers = []
+
     def append(self, m: Manifest, rows: DataFrame) -> None:
-        """Add rows of keys that are not there yet."""
-        if m.months and self.fact(m).select("Unique_Key").join(rows.select("Unique_Key"), "Unique_Key", "left_semi").limit(1).count():
+        """Add rows of keys that are not there yet, as further parts of their months."""
+        if (m.months or m.layers) and not self.there(m, rows).isEmpty():
             raise EngineError("a key to append is there already")
-        full = rows.select(*[F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in FACT])
-        months = {r[0] for r in full.select(month().alias("m")).distinct().collect()}
-        self._write_months(self.fact(m, list(months)).unionByName(full), m, months)
+        for k, parts in self._write_months(as_fact(rows), m).items():
+            m.months[k] = [*m.months.get(k, []), *parts]
 
     def truncate(self, m: Manifest) -> None:
-        m.months = {}
-
-    def dims(self, m: Manifest | None = None) -> dict[str, DataFrame]:
-        m = m or self.manifest()
-        return {name: self.dim(name, m) for _, name, _, _ in DIMENSIONS}
-
-    def analyze(self) -> None:
-        """Register the current fact as view ``fact`` and each dimension under its name, for SQL."""
+        m.months, m.layers = {}, []
+
+    def analyze(self, m: Manifest) -> dict[str, dict]:
+        """Rows, nulls, distinct values (about), least and greatest of each key, date and id column, kept in the manifest."""
+        columns = [f.name for f in FACT if f.dataType.typeName() != "string"]
+        each = [a for n, c in enumerate(columns) for a in (F.count(c).alias(f"n{n}"), F.approx_count_distinct(c).alias(f"d{n}"), F.min(c).cast("string").alias(f"a{n}"), F.max(c).cast("string").alias(f"z{n}"))]
+        r = self.fact(m).agg(F.count("*").alias("rows"), *each).first()
+        m.statistics = {c: {"rows": r["rows"], "nulls": r["rows"] - r[f"n{n}"], "distinct": r[f"d{n}"], "least": r[f"a{n}"], "greatest": r[f"z{n}"]} for n, c in enumerate(columns)}
+        return m.statistics
+
+    def register_views(self) -> None:
+        """The current fact as view ``fact`` and each dimension under its name, for SQL."""
         self.fact().createOrReplaceTempView("fact")
         for name, df in self.dims().items():
             df.createOrReplaceTempView(name)
+
+    # rows on their way into a commit
+
+    def spool(self, rows: DataFrame) -> str:
+        """Write rows that a later commit will read; returns their folder."""
+        folder = f"spool/{self._jvm.java.util.UUID.randomUUID()}"
+        rows.write.parquet(f"{self.path}/{folder}")
+        return f"{self.path}/{folder}"
+
+    def unspool(self, folders: list[str]) -> None:
+        for f in folders:
+            self._fs.delete(self._jvm.org.apache.hadoop.fs.Path(f), True)

@@ -51,6 +51,16 @@ def require_columns(df: DataFrame, required=REQUIRED_HEADERS) -> None:
         raise EngineError(f"the file lacks required columns: {', '.join(missing)}")
 
 
+def retype(df: DataFrame, types: dict[str, str]) -> DataFrame:
+    """Columns cast to other types, in place; a value that does not survive the cast there and back raises."""
+    out = df
+    for column, kind in types.items():
+        c, kept = F.col(f"`{column}`"), F.col(f"`{column}`").try_cast(kind)
+        fits = c.isNull() | (kept.try_cast(df.schema[column].dataType) == c)
+        out = out.withColumn(column, F.when(fits, kept).otherwise(F.raise_error(F.concat(F.lit(f"{column} does not fit into {kind}: "), c.cast("string"))).cast(kind)))
+    return out
+
+
 def csv_transform(raw: DataFrame, date_format: str = CSV_DATE, strict: bool = True) -> DataFrame:
     """CSV text columns to typed fact columns: mapped headers only, in the fact's order; missing-value texts are
     null; a key that is no integer is null (the key guard refuses it later)."""

@@ -62,16 +62,43 @@ def tie_groups(df: DataFrame, stamp: str, page_size: int) -> DataFrame:
     return df.where(F.col(stamp).isNotNull()).groupBy(stamp).agg(F.count("*").alias("n")).where(F.col("n") >= page_size)
 
 
+def halves(ask, lo: datetime, hi: datetime, floor: timedelta = timedelta(seconds=1)):
+    """(lo, hi, answer) for parts of [lo, hi), oldest first. ``ask(lo, hi)`` gives an answer and whether it may be cut
+    short; then its part is halved."""
+    left = [(lo, hi)]
+    while left:
+        lo, hi = left.pop()
+        answer, full = ask(lo, hi)
+        if not full:
+            yield lo, hi, answer
+        elif hi - lo <= floor:
+            raise EngineError(f"[{lo}, {hi}) is full and cannot be split")
+        else:
+            middle = lo + (hi - lo) / 2
+            left += [(middle, hi), (lo, middle)]
+
+
 def bisect(count, lo: datetime, hi: datetime, size: int, floor: timedelta = timedelta(seconds=1)) -> list[tuple[datetime, datetime]]:
     """[lo, hi) split by halves until each part counts fewer than ``size``; oldest first."""
-    out, stack = [], [(lo, hi)]
-    while stack:
-        lo, hi = stack.pop()
-        if count(lo, hi) < size:
-            out.append((lo, hi))
-            continue
-        if hi - lo <= floor:
-            raise EngineError(f"[{lo}, {hi}) is full and cannot be split")
-        middle = lo + (hi - lo) / 2
-        stack += [(middle, hi), (lo, middle)]
-    return out
+    return [(a, b) for a, b, _ in halves(lambda a, b: (None, count(a, b) >= size), lo, hi, floor)]
+
+
+def since(df: DataFrame, stamp: str, mark, overlap: timedelta = timedelta(0)) -> DataFrame:
+    """Rows after the mark less the overlap; the bound reaches the scan."""
+    return df.where(F.col(stamp) > F.lit(mark - overlap))
+
+
+def pinned(df: DataFrame, stamp: str, at, created: str, lo: datetime, hi: datetime) -> DataFrame:
+    """Rows of one change stamp created in [lo, hi)."""
+    return df.where((F.col(stamp) == F.lit(at)) & (F.col(created) >= F.lit(lo)) & (F.col(created) < F.lit(hi)))
+
+
+def unseen(page: DataFrame, seen: DataFrame, key: str) -> DataFrame:
+    """Rows whose key was not read before."""
+    return page.join(seen.select(key), key, "left_anti").select(*page.columns)
+
+
+def marks(df: DataFrame, stamp: str, overlap: timedelta, before=None) -> DataFrame:
+    """watermark (the batch's greatest stamp), start (less the overlap) and running (never below ``before``)."""
+    top = F.max(stamp)
+    return df.agg(top.alias("watermark"), (top - F.lit(overlap)).alias("start"), (top if before is None else F.greatest(top, F.lit(before))).alias("running"))

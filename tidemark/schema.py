@@ -67,6 +67,9 @@ CSV_DATE, REQUIRED_HEADERS = "MM/dd/yyyy hh:mm:ss a", ("Unique Key", "Created Da
 #: Fixed values of the feed's protocol.
 KEY, CHANGED, CREATED = "unique_key", ":updated_at", "created_date"
 
+#: Version of the schema above and of the store's layout; a store of another is refused.
+FORMAT = 2
+
 DATES = tuple(c for c, _, _, rule in COLUMNS if rule == "date")
 WIDTHS = {c: rule for c, _, _, rule in COLUMNS if isinstance(rule, int)} | {"Location": POINT_WIDTH}
 FEED_FIELDS = tuple(f for _, f, _, _ in COLUMNS if f)

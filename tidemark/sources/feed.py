@@ -19,9 +19,10 @@ import urllib.request
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from datetime import datetime, timedelta
+from itertools import chain
 
 from tidemark.errors import EngineError
-from tidemark.operators.windows import tiles
+from tidemark.operators.windows import halves, tiles
 from tidemark.schema import CHANGED, CREATED, FEED_FIELDS, KEY
 
 log = logging.getLogger(__name__)
@@ -176,19 +177,13 @@ def corroborate_end(client, cursor: datetime, probes: int = PROBES) -> None:
 
 
 def window_rows(client, lo: datetime, hi: datetime, size: int, **pinned) -> Iterator[tuple[datetime, datetime, list[dict]]]:
-    """Rows created in [lo, hi): a full answer may be cut, so its window is halved; oldest first."""
-    stack = [(lo, hi)]
-    while stack:
-        lo, hi = stack.pop()
-        rows = client.fetch(Request(created_from=lo, created_to=hi, limit=size, **pinned))
-        if len(rows) < size:
-            if rows:
-                yield lo, hi, rows
-            continue
-        if hi - lo <= LEAST_WINDOW:
-            raise EngineError(f"[{lo}, {hi}) is full and cannot be split")
-        middle = lo + (hi - lo) / 2
-        stack += [(middle, hi), (lo, middle)]
+    """Rows created in [lo, hi): a full answer may be cut short, so its window is halved; oldest first."""
+
+    def ask(a: datetime, b: datetime):
+        rows = client.fetch(Request(created_from=a, created_to=b, limit=size, **pinned))
+        return rows, len(rows) >= size
+
+    return (part for part in halves(ask, lo, hi, LEAST_WINDOW) if part[2])
 
 
 def undated_rows(client, size: int, **pinned) -> list[dict]:
@@ -199,15 +194,19 @@ def undated_rows(client, size: int, **pinned) -> list[dict]:
     return rows
 
 
-def drain(client, at: datetime, seen: set, size: int, evidence: int, now: datetime | None = None, sleep=time.sleep) -> list[list[dict]]:
+def drain(client, at: datetime, seen: set, size: int, evidence: int, now: datetime | None = None, sleep=time.sleep, keep=lambda rows: rows) -> list:
     """All rows that share one change stamp, less those seen. Nothing is handed on before the count of what came is
-    held against the rows already known to carry the stamp; only an empty drain is tried again."""
+    held against the rows already known to carry the stamp; only an empty drain is tried again.
+
+    ``keep`` puts each answer's rows aside and gives what stands for them, so only their keys are held here."""
     end = (now or datetime.now()) + DRAIN_AHEAD
     for n in range(DRAIN_ATTEMPTS):
-        batches = [rows for *_, rows in window_rows(client, DRAIN_FROM, end, size, changed_at=at)]
-        if rows := undated_rows(client, size, changed_at=at):
-            batches.append(rows)
-        observed = sum(map(len, batches))
+        out, known, observed = [], set(seen), 0
+        for rows in chain((rows for *_, rows in window_rows(client, DRAIN_FROM, end, size, changed_at=at)), [undated_rows(client, size, changed_at=at)]):
+            observed += len(rows)
+            if fresh := [r for r in rows if r[KEY] not in known]:
+                known.update(r[KEY] for r in fresh)
+                out.append(keep(fresh))
         if observed:
             break
         if n < DRAIN_ATTEMPTS - 1:
@@ -216,26 +215,22 @@ def drain(client, at: datetime, seen: set, size: int, evidence: int, now: dateti
         raise EngineError(f"{observed} rows came for {at}; at least {evidence} carry it")
     if observed < evidence:
         log.warning("%d rows came for %s, a few less than the %d counted: edited meanwhile", observed, at, evidence)
-    out, known = [], set(seen)
-    for rows in batches:
-        fresh = [r for r in rows if r[KEY] not in known]
-        known.update(r[KEY] for r in fresh)
-        if fresh:
-            out.append(fresh)
     return out
 
 
 @dataclass(frozen=True)
 class Cursor:
-    """Where a keyset scan stands: keys already read at ``at`` if that is read again."""
+    """Where a keyset scan stands: keys already read at ``at`` if that is read again, and the stamp up to which all
+    rows have been read (a full page's greatest stamp may have more)."""
 
     at: datetime
     inclusive: bool = False
     boundary: frozenset = frozenset()
+    whole: datetime | None = None
 
 
-def next_page(client, cursor: Cursor, size: int = PAGE_SIZE, probes: int = PROBES, corroborate_short: bool = True, sleep=time.sleep) -> tuple[list[list[dict]], Cursor, bool]:
-    """(batches, cursor after them, whether the end is reached)."""
+def next_page(client, cursor: Cursor, size: int = PAGE_SIZE, probes: int = PROBES, corroborate_short: bool = True, sleep=time.sleep, keep=lambda rows: rows) -> tuple[list, Cursor, bool]:
+    """(batches, cursor after them, whether the end is reached); a drained group's batches are what ``keep`` made."""
     rows = client.fetch(Request(after=cursor.at, inclusive=cursor.inclusive, ordered=True, limit=size))
     fresh = [r for r in rows if r[KEY] not in cursor.boundary]
     if len(rows) < size:
@@ -246,20 +241,29 @@ def next_page(client, cursor: Cursor, size: int = PAGE_SIZE, probes: int = PROBE
         elif corroborate_short:  # a short page with new rows may be cut short: go on where it ends
             more = (newest_change(client, probes) or top) > top
         same = cursor.boundary if top == cursor.at else frozenset()
-        return ([fresh] if fresh else []), Cursor(top, True, same | {r[KEY] for r in rows if changed(r) == top}), not more
+        return ([fresh] if fresh else []), Cursor(top, True, same | {r[KEY] for r in rows if changed(r) == top}, cursor.whole if more else top), not more
     top = newest(rows)
     if top == cursor.at:  # the page is full of one stamp
         evidence = sum(changed(r) == top for r in rows)
-        return drain(client, top, set(cursor.boundary), size, evidence, sleep=sleep), Cursor(top), False
-    return ([fresh] if fresh else []), Cursor(top, True, frozenset(r[KEY] for r in rows if changed(r) == top)), False
+        return drain(client, top, set(cursor.boundary), size, evidence, sleep=sleep, keep=keep), Cursor(top, whole=top), False
+    whole = max((t for r in rows if (t := changed(r)) and t < top), default=cursor.whole)
+    return ([fresh] if fresh else []), Cursor(top, True, frozenset(r[KEY] for r in rows if changed(r) == top), whole), False
 
 
-def changes(client, since: datetime, size: int = PAGE_SIZE, max_pages: int | None = None, **options) -> Iterator[list[dict]]:
-    """Batches of all rows changed after ``since``; a row edited on the way comes again, later."""
+def steps(client, since: datetime, size: int = PAGE_SIZE, max_pages: int | None = None, **options) -> Iterator[tuple[list, datetime | None]]:
+    """The batches of each page, or of each drained group, which belong into one commit; and the stamp up to which all
+    rows have come with them, if any."""
     cursor, pages, end = Cursor(since), 0, False
     while not end and (max_pages is None or pages < max_pages):
         batches, cursor, end = next_page(client, cursor, size, **options)
         pages += 1
+        if batches:
+            yield batches, cursor.whole
+
+
+def changes(client, since: datetime, size: int = PAGE_SIZE, max_pages: int | None = None, **options) -> Iterator[list[dict]]:
+    """Batches of all rows changed after ``since``; a row edited on the way comes again, later."""
+    for batches, _ in steps(client, since, size, max_pages, **options):
         yield from batches
 
 

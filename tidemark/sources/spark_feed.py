@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from datetime import datetime, timedelta
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -24,7 +25,10 @@ class FeedReader(DataSourceReader):
         self.size = int(options.get("page_size", PAGE_SIZE))
 
     def partitions(self):
-        """At most ``parallel`` runs of windows at a time ask the feed: windows are widened to that number."""
+        """At most ``parallel`` runs of windows at a time ask the feed: windows are widened to that number, or those
+        of ``windows`` (a list of bounds) are asked for as they are."""
+        if "windows" in self.options:
+            return [Window(datetime.fromisoformat(a), datetime.fromisoformat(b)) for a, b in json.loads(self.options["windows"])]
         lo, hi = datetime.fromisoformat(self.options["from"]), datetime.fromisoformat(self.options["to"])
         days = float(self.options.get("window_days", WINDOW / timedelta(days=1)))
         most = int(self.options.get("parallel", 64))
@@ -41,13 +45,11 @@ class FeedReader(DataSourceReader):
 
 
 def _text(value) -> str:
-    import json
-
     return json.dumps(value)
 
 
 class FeedSource(DataSource):
-    """Options: url or client, from, to, window_days, page_size, parallel, undated, token, timeout."""
+    """Options: url or client, from, to, window_days, or windows, page_size, parallel, undated, token, timeout."""
 
     @classmethod
     def name(cls):
