@@ -85,7 +85,7 @@ def commit(stamped: DataFrame, dims: dict[str, DataFrame], key: str = "Unique_Ke
     from tidemark.operators.verify import orphan_counts
 
     more = [F.count_if(F.col(t).isNotNull() & F.col(i).isNull()).alias(f"unmapped {i}") for t, _, _, i in DIMENSIONS if t in stamped.columns]
-    counts = orphan_counts(stamped, dims, (*more, (F.count("*") - F.countDistinct(key)).alias(f"repeated {key}"))).first().asDict()
+    counts = orphan_counts(stamped, dims, (*more, (F.count("*") - F.countDistinct(key)).alias(f"repeated {key}")), counted=True).first().asDict()
     if bad := {k: n for k, n in counts.items() if n}:
         raise EngineError(f"rows that must not be stored: {bad}")
 

@@ -35,29 +35,30 @@ def rows_to_df(spark: SparkSession, rows: list[dict], first: int = 0) -> DataFra
 
 
 class Parts:
-    """Rows of one commit, answer by answer: the driver holds one answer, further ones are written to the spool."""
+    """Rows of one commit, answer by answer: the driver holds about one page of them, the others go to the spool."""
 
-    def __init__(self, store: SnapshotStore):
-        self.store, self.folders, self.held, self.rows = store, [], None, 0
+    def __init__(self, store: SnapshotStore, page_size: int = feeds.PAGE_SIZE):
+        self.store, self.page_size, self.folders, self.held, self.rows = store, page_size, [], [], 0
 
     def add(self, rows: list[dict]) -> Parts:
-        df = rows_to_df(self.store.spark, rows, self.rows)
+        if self.held and len(self.held) + len(rows) > self.page_size:
+            self.folders.append(self.store.spool(self._held().coalesce(1)))
+            self.held = []
+        self.held = self.held + rows
         self.rows += len(rows)
-        if self.held is None and not self.folders:
-            self.held = df
-            return self
-        if self.held is not None:
-            self.folders.append(self.store.spool(self.held.coalesce(1)))
-            self.held = None
-        self.folders.append(self.store.spool(df.coalesce(1)))
         return self
 
+    def _held(self) -> DataFrame:
+        return rows_to_df(self.store.spark, self.held, self.rows - len(self.held))
+
     def df(self) -> DataFrame:
-        return self.held if self.held is not None else self.store.spark.read.schema(_BATCH).parquet(*self.folders)
+        if not self.folders:
+            return self._held()
+        return self.store.spark.read.schema(_BATCH).parquet(*self.folders).union(self._held())
 
     def close(self) -> None:
         self.store.unspool(self.folders)
-        self.folders, self.held, self.rows = [], None, 0
+        self.folders, self.held, self.rows = [], [], 0
 
 
 def extend_and_stamp(store: SnapshotStore, m: Manifest, rows: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
@@ -72,7 +73,7 @@ def extend_and_stamp(store: SnapshotStore, m: Manifest, rows: DataFrame) -> tupl
             store.write_dim(m, name, extended)
             guards.dimension_names(store.dim(name, m))
             dims[name] = lookups.sized(store.dim(name, m))
-    return lookups.stamp_ids(rows, [(F.col(text), dims[name], i) for text, name, _, i in DIMENSIONS]), dims
+    return lookups.stamp_ids(rows, [(F.col(text), dims[name], i) for text, name, _, i in DIMENSIONS], counted=True), dims
 
 
 def apply_batch(store: SnapshotStore, m: Manifest, feed: DataFrame, dry_run: bool = False) -> dict:
@@ -113,7 +114,7 @@ def incremental(store: SnapshotStore, client, since: datetime | None = None, def
             log.info("the feed is %s ahead", top - mark)
     except Exception as e:  # a report only
         log.warning("the feed's newest change is not known: %s", e)
-    total, parts = {"rows": 0, "affected": 0, "commits": 0, "watermark": m.watermark}, Parts(store)
+    total, parts = {"rows": 0, "affected": 0, "commits": 0, "watermark": m.watermark}, Parts(store, page_size)
     try:
         for batches, whole in feeds.steps(client, start, page_size, max_pages, keep=parts.add, **options):
             for rows in batches:
@@ -149,7 +150,7 @@ def sweep(store: SnapshotStore, client, start: datetime, end: datetime, width: t
     """Read every row created in [start, end) window by window; finished windows are skipped. One window is one
     commit with its ledger entry, an empty one too. The high-water mark stays."""
     done = _finished(store.manifest(), resweep)
-    total, parts = {"windows": 0, "skipped": 0, "rows": 0, "affected": 0}, Parts(store)
+    total, parts = {"windows": 0, "skipped": 0, "rows": 0, "affected": 0}, Parts(store, page_size)
     try:
         for lo, hi in feeds.sweep_windows(start, end, width):
             if (lo, hi) in done:

@@ -55,11 +55,12 @@ def sized(dim: DataFrame, limit: int = BROADCAST_NAMES) -> DataFrame:
     return F.broadcast(dim.sparkSession.createDataFrame(rows, dim.schema)) if rows.num_rows <= limit else dim
 
 
-def stamp_ids(fact: DataFrame, dims: list[tuple[Column, DataFrame, str]], how: str = "left") -> DataFrame:
+def stamp_ids(fact: DataFrame, dims: list[tuple[Column, DataFrame, str]], how: str = "left", counted: bool = False) -> DataFrame:
     """``fact`` with an id column for each (text column, dimension, id name). All joins sit in one stage while the
-    dimensions are small; a null name has a null id."""
+    dimensions are small (``counted``: ``sized`` has been at them); a null name has a null id."""
     for text, dim, name in dims:
         key = free_name([*fact.columns, name], "td_key")
-        side = sized(dim.select(match_key(F.col("name")).alias(key), F.col("id").alias(name)))
+        side = dim.select(match_key(F.col("name")).alias(key), F.col("id").alias(name))
+        side = side if counted else sized(side)
         fact = fact.drop(name).join(side, match_key(text) == F.col(key), how).drop(key)
     return fact

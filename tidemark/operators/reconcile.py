@@ -19,6 +19,11 @@ def counts(df: DataFrame, stamp: str, grain: str, low=None, high=None) -> DataFr
     return df.where(F.col(stamp).isNotNull()).groupBy(period(F.col(stamp), grain).alias("period")).agg(F.count("*").alias("n"))
 
 
+def count_by(df: DataFrame, column: str) -> DataFrame:
+    """Rows of each value of a column."""
+    return df.groupBy(column).agg(F.count("*").alias("n"))
+
+
 def compare(source: DataFrame, ours: DataFrame) -> DataFrame:
     """period, source, ours, difference (source - ours), flag; a period that one side lacks counts 0 there."""
     both = source.select("period", F.col("n").alias("source")).join(ours.select("period", F.col("n").alias("ours")), "period", "full_outer")

@@ -16,18 +16,24 @@ def orphans(fact: DataFrame, dim: DataFrame, id_column: str, dim_id: str = "id")
     return fact.where(F.col(id_column).isNotNull()).join(dim.select(F.col(dim_id).alias(id_column)), id_column, "left_anti")
 
 
+def named(df: DataFrame, column: str, names) -> DataFrame:
+    """Rows whose column is one of ``names``; reaches the scan."""
+    return df.where(F.col(column).isin(*names))
+
+
 def labelled_count(df: DataFrame, label: str) -> DataFrame:
     return df.agg(F.count("*").alias("n")).select(F.lit(label).alias("check"), "n")
 
 
-def orphan_counts(fact: DataFrame, dims: dict[str, DataFrame], more=()) -> DataFrame:
+def orphan_counts(fact: DataFrame, dims: dict[str, DataFrame], more=(), counted: bool = False) -> DataFrame:
     """One row: for each dimension the rows whose id names none of its rows, and ``more`` aggregates over the fact.
 
-    One pass: small dimensions are broadcast side by side."""
+    One pass: small dimensions are broadcast side by side (``counted``: ``lookups.sized`` has been at them)."""
     out, counts = fact, []
     for _, dim, _, i in DIMENSIONS:
         key = free_name(out.columns, "td_id")
-        out = out.join(sized(dims[dim].select(F.col("id").alias(key)).distinct()), F.col(i) == F.col(key), "left")
+        ids = dims[dim].select(F.col("id").alias(key)).distinct()
+        out = out.join(ids if counted else sized(ids), F.col(i) == F.col(key), "left")
         counts.append(F.count_if(F.col(i).isNotNull() & F.col(key).isNull()).alias(f"orphan {i}"))
     return out.agg(*counts, *more)
 

@@ -57,3 +57,29 @@ class FakeFeed:
 
 def from_options(options: dict) -> FakeFeed:
     return FakeFeed(int(options.get("rows", 1000)), timedelta(seconds=float(options.get("spread", 60))))
+
+
+class TableFeed(FakeFeed):
+    """A feed over given rows: (key, created or None, changed, other fields)."""
+
+    def __init__(self, rows: list[tuple[str, datetime | None, datetime, dict]]):
+        self.created = {k: c for k, c, *_ in rows}
+        self.changed = {k: t for k, _, t, _ in rows}
+        self.fields = {k: f for k, _, _, f in rows}
+        self.clock = max(self.changed.values(), default=START)
+        self.edits, self.jumble, self.random, self.requests = 0, False, random.Random(0), []
+
+    def row(self, key: str) -> dict:
+        created = {CREATED: stamp(self.created[key])} if self.created[key] else {}
+        return {KEY: key, CHANGED: stamp(self.changed[key])} | created | self.fields[key]
+
+
+class StaleFeed:
+    """Answers each probe from the next of several replicas, some of which lag."""
+
+    def __init__(self, stamps: list[datetime]):
+        self.stamps, self.asked = stamps, 0
+
+    def fetch(self, r: Request) -> list[dict]:
+        self.asked += 1
+        return [{KEY: "1", CHANGED: stamp(self.stamps[(self.asked - 1) % len(self.stamps)]) + "Z"}]

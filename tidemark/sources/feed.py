@@ -243,9 +243,9 @@ def next_page(client, cursor: Cursor, size: int = PAGE_SIZE, probes: int = PROBE
         same = cursor.boundary if top == cursor.at else frozenset()
         return ([fresh] if fresh else []), Cursor(top, True, same | {r[KEY] for r in rows if changed(r) == top}, cursor.whole if more else top), not more
     top = newest(rows)
-    if top == cursor.at:  # the page is full of one stamp
+    if top == cursor.at or all(changed(r) == top for r in rows):  # the page is full of one stamp
         evidence = sum(changed(r) == top for r in rows)
-        return drain(client, top, set(cursor.boundary), size, evidence, sleep=sleep, keep=keep), Cursor(top, whole=top), False
+        return drain(client, top, set(cursor.boundary) if top == cursor.at else set(), size, evidence, sleep=sleep, keep=keep), Cursor(top, whole=top), False
     whole = max((t for r in rows if (t := changed(r)) and t < top), default=cursor.whole)
     return ([fresh] if fresh else []), Cursor(top, True, frozenset(r[KEY] for r in rows if changed(r) == top), whole), False
 
