@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from itertools import chain, islice
@@ -13,6 +11,8 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.shared import hadoop_path, shared_dir
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Lower-cases A-Z and turns every other ASCII character but letters and digits into a blank.
 _ALNUM = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
@@ -43,30 +43,6 @@ def byte_list(array: pa.Array) -> list[bytes | None]:
     return array.cast(pa.binary()).to_pylist()
 
 
-def free_name(taken, wanted: str) -> str:
-    """``wanted``, lengthened until no column is called so (names differ by more than case)."""
-    taken = {c.lower() for c in taken}
-    while wanted.lower() in taken:
-        wanted += "_"
-    return wanted
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """A new folder under ``spark.checkpoint.dir``; a local one only where nothing is set on a local master."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        base = f"file://{tempfile.gettempdir()}/tidemark-stage"
-    path = f"{base.rstrip('/')}/tidemark-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.mkdirs(target)
-    fs.deleteOnExit(target)
-    return path
-
-
 def stage(df: DataFrame, name: str = "stage", keep: bool = False) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: lineage ends, and its size is known to the planner.
 
@@ -84,8 +60,8 @@ def stage(df: DataFrame, name: str = "stage", keep: bool = False) -> DataFrame:
 
 
 def _delete(spark: SparkSession, folder: str) -> None:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    fs, target = hadoop_path(spark, folder)
+    fs.delete(target, True)
 
 
 def release(df: DataFrame) -> None:
