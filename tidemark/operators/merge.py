@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.shared import free_name
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def last_wins(batch: DataFrame, key: str, *order: str) -> DataFrame:
     """One row for each key: the last by ``order``. All columns stay, whatever their names."""
     nth = free_name(batch.columns, "td_nth")
@@ -38,10 +40,11 @@ def changes(existing: DataFrame, incoming: DataFrame, key: str, kind: str = "td_
     for c in (key, *shared):
         old[c] = free_name(names, f"td_{c}")
         names.append(old[c])
-    side = existing.select(*[F.col(c).alias(a) for c, a in old.items() if c in existing.columns], *[F.lit(None).alias(a) for c, a in old.items() if c not in existing.columns], *carried)
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(old[c])) for c in shared], F.lit(True))
-    joined = incoming.join(side, F.col(key) == F.col(old[key]), "left")
-    return joined.select(*incoming.columns, *carried, F.when(F.col(old[key]).isNull(), "i").when(same, "s").otherwise("u").alias(kind))
+    there = set(existing.columns)
+    side = existing.selectExpr(*[f"{_quoted(c) if c in there else 'NULL'} AS {_quoted(a)}" for c, a in old.items()], *map(_quoted, carried))
+    same = " AND ".join(["true", *(f"{_quoted(c)} <=> {_quoted(old[c])}" for c in shared)])
+    joined = incoming.join(side, F.col(_quoted(key)) == F.col(_quoted(old[key])), "left")
+    return joined.selectExpr(*map(_quoted, (*incoming.columns, *carried)), f"CASE WHEN {_quoted(old[key])} IS NULL THEN 'i' WHEN {same} THEN 's' ELSE 'u' END AS {_quoted(kind)}")
 
 
 def tally(changed: DataFrame, kind: str = "td_kind") -> DataFrame:

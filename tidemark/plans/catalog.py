@@ -500,23 +500,23 @@ def load_state(spark, d):
     return store.state().select("watermark", "rows_total", "windows")
 
 
-_SWEPT = "range(TIMESTAMP '2016-01-01', TIMESTAMP '2016-04-01', INTERVAL 14 DAY)"
+_SWEPT = "range(TIMESTAMP '2016-01-01', TIMESTAMP '2016-04-01', INTERVAL 40 DAY)"
 
 
-@query(f"""SELECT t.x AS lo, least(t.x + INTERVAL 14 DAY, TIMESTAMP '2016-04-01') AS hi, count(o_orderkey) AS "rows" FROM {_SWEPT} AS t(x)
-LEFT JOIN orders ON o_orderdate + INTERVAL 20 YEAR >= t.x AND o_orderdate + INTERVAL 20 YEAR < least(t.x + INTERVAL 14 DAY, TIMESTAMP '2016-04-01') GROUP BY 1, 2""")
+@query(f"""SELECT t.x AS lo, least(t.x + INTERVAL 40 DAY, TIMESTAMP '2016-04-01') AS hi, count(o_orderkey) AS "rows" FROM {_SWEPT} AS t(x)
+LEFT JOIN orders ON o_orderdate + INTERVAL 20 YEAR >= t.x AND o_orderdate + INTERVAL 20 YEAR < least(t.x + INTERVAL 40 DAY, TIMESTAMP '2016-04-01') GROUP BY 1, 2""")
 def sweep_ledger(spark, d):
     """A sweep that is broken off and taken up again: the ledger has each window once."""
     store, client = _store(spark), _order_feed(spark, d)
-    load.sweep(store, client, datetime(2016, 1, 1), datetime(2016, 2, 12), timedelta(days=14), 100)
-    load.sweep(store, client, datetime(2016, 1, 1), datetime(2016, 4, 1), timedelta(days=14), 100)
+    load.sweep(store, client, datetime(2016, 1, 1), datetime(2016, 2, 10), timedelta(days=40), 100)
+    load.sweep(store, client, datetime(2016, 1, 1), datetime(2016, 4, 1), timedelta(days=40), 100)
     return store.ledger()
 
 
 @query(_FACT.replace(" FROM orders", " FROM orders WHERE o_orderdate + INTERVAL 20 YEAR >= TIMESTAMP '2016-01-01' AND o_orderdate + INTERVAL 20 YEAR < TIMESTAMP '2016-04-01'").replace("(dense_rank() OVER (ORDER BY o_orderpriority))::INTEGER AS lt_id", "o_orderkey % 7 AS nth").replace('o_totalprice AS "Latitude",', 'o_totalprice AS "Latitude",'))
 def sweep_rows(spark, d):
     store = _store(spark)
-    load.sweep(store, _order_feed(spark, d), datetime(2016, 1, 1), datetime(2016, 4, 1), timedelta(days=30), 100)
+    load.sweep(store, _order_feed(spark, d), datetime(2016, 1, 1), datetime(2016, 4, 1), timedelta(days=60), 100)
     return store.fact().select(*_SHOWN[:-1], (F.col("Unique_Key") % 7).alias("nth"))
 
 
@@ -658,6 +658,92 @@ def retype(spark, d):
     return narrowed(orders, {"small": "smallint"})
 
 
+@query(_FACT.replace(" FROM orders", " FROM orders WHERE o_orderkey % 2 = 0").replace("(dense_rank() OVER (ORDER BY o_orderpriority))::INTEGER AS lt_id", "1::BIGINT AS months_apart"))
+def truncate_load(spark, d):
+    """An export that replaces what was there."""
+    store, facts, path = _store(spark), _order_facts(spark, d), f"{shared_dir(spark)}/csv"
+    m = store.manifest()
+    store.append(m, facts.where("Unique_Key % 3 = 0"))
+    store.publish(m)
+    headers = {"Unique_Key": "Unique Key", "Created_Date": "Created Date", "Location_Type": "Location Type"}
+    facts.where("Unique_Key % 2 = 0").withColumn("Created_Date", F.date_format("Created_Date", "MM/dd/yyyy hh:mm:ss a")).withColumnsRenamed(headers).write.option("header", True).option("ignoreTrailingWhiteSpace", False).csv(path)
+    load.import_csv(store, path, truncate=True)
+    return store.fact().select(*_SHOWN[:-1], F.lit(1).cast("long").alias("months_apart"))
+
+
+@query("SELECT count(*) AS \"rows\", 0::BIGINT AS commits, 0::BIGINT AS stored, 0::BIGINT AS versions FROM orders")
+def dry_run(spark, d):
+    """A dry run reads and checks everything and writes nothing."""
+    store = _store(spark)
+    got = load.incremental(store, _order_feed(spark, d), default_since=datetime(2010, 1, 1), dry_run=True, **_LOAD)
+    return spark.createDataFrame([(got["rows"], got["commits"], store.fact().count(), store.manifest().version)], "`rows` long, commits long, stored long, versions long")
+
+
+_STAMP = "TIMESTAMP '2020-01-01' + to_seconds(o_orderkey // 40 * 3600)"
+
+
+@query(f"""WITH s AS (SELECT {_STAMP} AS t FROM orders), top AS (SELECT max(t) AS t FROM s)
+SELECT (SELECT count(*) FROM s, top WHERE s.t > top.t - INTERVAL 3 HOUR) AS "rows", 0::BIGINT AS affected, strftime((SELECT t FROM top), '%Y-%m-%dT%H:%M:%S.000') AS watermark""")
+def overlap_reread(spark, d):
+    """The second load starts at the mark less the overlap: those rows come again and change nothing."""
+    store, client = _store(spark), _order_feed(spark, d, changed="TIMESTAMP_NTZ '2020-01-01' + make_dt_interval(0, cast(o_orderkey div 40 AS int), 0, 0)")
+    load.incremental(store, client, default_since=datetime(2010, 1, 1), **_LOAD)
+    got = load.incremental(store, client, overlap=timedelta(hours=3), **_LOAD)
+    return spark.createDataFrame([(got["rows"], got["affected"], got["watermark"])], "`rows` long, affected long, watermark string")
+
+
+@query("SELECT true AS headers, true AS dates, true AS empty_feed, true AS lagging_end, true AS gutted_group, true AS full_second, true AS no_stamp, true AS missing_rows")
+def feed_refusals(spark, d):
+    """What the readers refuse, one column each."""
+    from tidemark.operators.transform import require_columns
+
+    orders = table(spark, d, "orders")
+    tied = _order_feed(spark, d, changed="TIMESTAMP_NTZ '2020-01-01'")
+    fetch = tied.fetch
+    gutted = TableFeed([])
+    gutted.fetch = lambda r: fetch(r)[:5] if r.changed_at else fetch(r)
+    lagging = TableFeed([])
+    lagging.fetch = lambda r: fetch(r) if r.newest_first else []
+    second = TableFeed([(str(i), datetime(2020, 1, 1), datetime(2020, 1, 1), {}) for i in range(20)])
+    read = lambda client, size: list(feed.changes(client, datetime(2010, 1, 1), size, **_LOAD))
+    tries = (
+        lambda: require_columns(orders), lambda: guards.dates_parse(orders.select(F.col("o_orderpriority").alias("Closed Date"))), lambda: read(TableFeed([]), 100), lambda: read(lagging, 100),
+        lambda: read(gutted, 100), lambda: list(feed.window_rows(second, datetime(2020, 1, 1), datetime(2020, 1, 2), 10)), lambda: feed.newest([{"unique_key": "1"}]), lambda: guards.shortfall(orders.count()),
+    )
+    said = []
+    for f in tries:
+        try:
+            f()
+            said.append(False)
+        except EngineError:
+            said.append(True)
+    return spark.createDataFrame([tuple(said)], "headers boolean, dates boolean, empty_feed boolean, lagging_end boolean, gutted_group boolean, full_second boolean, no_stamp boolean, missing_rows boolean")
+
+
+@query("SELECT event_id, CASE WHEN event_id % 3 = 0 THEN NULL ELSE value END AS x FROM events")
+def nan_is_null(spark, d):
+    text = F.expr("CASE WHEN event_id % 3 = 0 THEN 'NaN' ELSE cast(value AS string) END")
+    return table(spark, d, "events").select("event_id", expr.lenient_double(text).alias("x"))
+
+
+@query("SELECT o_orderkey AS \"Unique_Key\", o_orderdate AS \"Created_Date\", o_orderstatus AS \"Status\" FROM orders")
+def mapped_columns_only(spark, d):
+    """Headers with blanks and quotes around them; a column that the fact has not is left out."""
+    from tidemark.operators.transform import csv_transform
+
+    o = table(spark, d, "orders")
+    return csv_transform(o.select(F.col("o_orderkey").cast("string").alias(' "Unique Key" '), F.date_format("o_orderdate", "MM/dd/yyyy hh:mm:ss a").alias("Created Date "), F.col("o_orderstatus").alias("Status"), F.lit("x").alias("Unknown")))
+
+
+@query("SELECT 'Unique_Key' AS \"column\", count(*) AS \"rows\", 0::BIGINT AS nulls, min(o_orderkey)::VARCHAR AS least, max(o_orderkey)::VARCHAR AS greatest FROM orders UNION ALL SELECT 'lt_id', count(*), count(*), NULL, NULL FROM orders")
+def store_statistics(spark, d):
+    store = _store(spark)
+    m = store.manifest()
+    store.append(m, _order_facts(spark, d))
+    got = store.analyze(m)
+    return spark.createDataFrame([(c, got[c]["rows"], got[c]["nulls"], got[c]["least"], got[c]["greatest"]) for c in ("Unique_Key", "lt_id")], "column string, `rows` long, nulls long, least string, greatest string")
+
+
 # Reachable as plain SQL only
 
 
