@@ -170,6 +170,10 @@ def test_a_small_update_leaves_files_in_place(spark, store):
     status = {r["Unique_Key"]: r["Status"] for r in store.fact().where("Unique_Key IN (100005, 100006, 999999)").collect()}
     assert status == {100005: "Closed", 100006: "Open", 999999: "New"} and store.fact().count() == 2001
     assert store.fact(months=["2026-09"]).where("Unique_Key = 999999").count() == 1 and store.fact(months=["2026-08"]).where("Status = 'Closed'").count() == 1
+    months = store.manifest().months
+    assert set(store.manifest().layers[-1]["over"]) == {months["2026-08"][0]["path"]}  # keys 100005 and 999999, the latter in no part
+    plan = store.fact()._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LeftAnti") == 1 and plan.count("Union") >= 1  # one part lies under the layer, the others are read as they are
     read = store.there(m, spark.createDataFrame([(100005,)], "Unique_Key long")).inputFiles()
     assert any("month=2026-08" in f for f in read) and not any("month=2026-12" in f for f in read)  # spans of keys rule the other months out
 

@@ -7,7 +7,8 @@ the sweep ledger and the run's counts. Readers open the highest manifest. A vers
 manifest into place, which fails if another writer took the number; what a crashed run wrote before stays unseen.
 
 An upsert reads only parts whose span holds an incoming key and writes only the changed rows, as a new layer; no file
-that is there is rewritten. A row is the one of the last layer that has its key, else the base's. When layers hold over
+that is there is rewritten. A row is the one of the last layer that has its key, else the base's; parts that
+no layer's keys may be in are read as they are. When layers hold over
 ``COMPACTED`` of the base's rows, or are many, the months that they touch are rewritten, and only these. The engine
 sizes files by bytes (adaptive rebalancing), so their number follows the data.
 """
@@ -37,7 +38,7 @@ class Manifest:
     version: int = 0
     format: int = FORMAT
     months: dict[str, list[dict]] = field(default_factory=dict)  # month -> parts: path, lo, hi (keys), rows
-    layers: list[dict] = field(default_factory=list)  # path, rows; later ones win
+    layers: list[dict] = field(default_factory=list)  # path, rows, over (parts that may hold its keys); later ones win
     dims: dict[str, str] = field(default_factory=dict)
     watermark: str | None = None
     rows_run: int = 0
@@ -120,14 +121,21 @@ class SnapshotStore:
             out = rows if out is None else out.union(rows)
         return (out if len(m.layers) == 1 else merge.last_wins(out, KEY, seq)).drop(seq)
 
-    def _over(self, base: DataFrame, latest: DataFrame | None) -> DataFrame:
-        return base if latest is None else base.join(latest.select(KEY), KEY, "left_anti").select(*base.columns)
+    def _base(self, m: Manifest, paths: list[str], latest: DataFrame | None, narrow=lambda rows: rows) -> DataFrame:
+        """Rows of base parts less those that a layer replaces; ``narrow`` is applied to what is read."""
+        over = {p for layer in m.layers for p in layer["over"]}
+        plain = narrow(self._read([p for p in paths if p not in over]))
+        if not over.intersection(paths):
+            return plain
+        rest = narrow(self._read([p for p in paths if p in over]))
+        rest = rest.join(latest.select(KEY), KEY, "left_anti").select(*rest.columns)
+        return rest if over.issuperset(paths) else plain.unionByName(rest)
 
     def fact(self, m: Manifest | None = None, months: list[str] | None = None) -> DataFrame:
         """Current rows, of some months only if named: other months' base files are not even listed."""
         m = m or self.manifest()
         latest = self._latest(m)
-        base = self._over(self._read([p["path"] for k, parts in sorted(m.months.items()) if months is None or k in months for p in parts]), latest)
+        base = self._base(m, [p["path"] for k, parts in sorted(m.months.items()) if months is None or k in months for p in parts], latest)
         if latest is None:
             return base
         return base.unionByName(latest if months is None else latest.where(month().isin(list(months))))
@@ -166,14 +174,17 @@ class SnapshotStore:
 
     def there(self, m: Manifest, keys: DataFrame) -> DataFrame:
         """Current rows of ``keys``: only parts and row groups whose span may hold one are read."""
+        return self._there(m, keys)[0]
+
+    def _there(self, m: Manifest, keys: DataFrame) -> tuple[DataFrame, list[str]]:
+        """The same, and the parts that may hold the keys."""
         keys = keys.select(KEY)
         paths, span = self._holding(m, keys)
         latest = self._latest(m)
-        base = self._read(paths if span else [])
-        if span:
-            base = base.where(F.col(KEY).between(*span))
-        base = self._over(base.join(keys, KEY, "left_semi").select(*base.columns), latest)
-        return base if latest is None else base.unionByName(latest.join(keys, KEY, "left_semi").select(*base.columns))
+        columns = [f.name for f in FACT]
+        among = lambda rows: rows.join(keys, KEY, "left_semi").select(*columns)
+        base = self._base(m, paths, latest, lambda rows: among(rows.where(F.col(KEY).between(*span)) if span else rows))
+        return (base if latest is None else base.unionByName(among(latest))), paths
 
     def _write_months(self, rows: DataFrame, m: Manifest) -> dict[str, list[dict]]:
         """Write base parts by month and return them."""
@@ -189,13 +200,14 @@ class SnapshotStore:
         """Merge ``incoming`` (one row a key, cached or staged) as a new layer of its changed rows; returns the counts.
 
         A column that ``incoming`` lacks keeps its value."""
-        changed = merge.changes(self.there(m, incoming), incoming, KEY).cache()  # as many rows as come in
+        there, over = self._there(m, incoming)
+        changed = merge.changes(there, incoming, KEY).cache()  # as many rows as come in
         try:
             counts = merge.tally(changed).first().asDict()
             if n := counts["inserted"] + counts["updated"]:
                 folder = self._folder("layers", m)
                 as_fact(changed.where("td_kind != 's'")).hint("rebalance").sortWithinPartitions(KEY).write.parquet(f"{self.path}/{folder}")
-                m.layers.append({"path": folder, "rows": n})
+                m.layers.append({"path": folder, "rows": n, "over": over})
         finally:
             changed.unpersist()
         if len(m.layers) > MAX_LAYERS or sum(layer["rows"] for layer in m.layers) > max(COMPACTED_ROWS, COMPACTED * m.rows()):
@@ -206,7 +218,7 @@ class SnapshotStore:
         """Merge the layers into the base: months that lose or get a row are rewritten, others stay as they are."""
         if (latest := self._latest(m)) is None:
             return
-        paths, _ = self._holding(m, latest)
+        paths = sorted({p for layer in m.layers for p in layer["over"]})
         touched = {r[0] for r in latest.select(month().alias("m")).distinct().collect()}
         old = self._read(paths).select(KEY, "Created_Date").join(latest.select(KEY), KEY, "left_semi")
         touched |= {r[0] for r in old.select(month().alias("m")).distinct().collect()}
