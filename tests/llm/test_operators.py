@@ -218,6 +218,24 @@ def test_line_dedup(spark, docs, none, limit):
     assert rows(line_dedup.drop_boilerplate(none)) == []
 
 
+def test_a_hot_site_is_split(spark):
+    """Where the flagged lines are not broadcast, adaptive execution splits a site with most of the pages."""
+    docs = spark.range(40_000).selectExpr("id AS doc_id", "concat('menu', chr(10), 'line ', id, ' ', repeat(md5(cast(id AS string)), 8)) AS text", "CASE WHEN id % 10 < 9 THEN 'hot' ELSE concat('s', id % 50) END AS source").repartition(16).cache()
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k", "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        df = line_dedup.drop_boilerplate(docs)
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "SortMergeJoin(skew=true)" in plan.replace("SortMergeJoin (skew=true)", "SortMergeJoin(skew=true)")
+    assert df.where("td_n_dropped = 1").count() == 40_000
+
+
 def brute_quality(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     windows = Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
