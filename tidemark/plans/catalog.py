@@ -796,3 +796,34 @@ _passthrough(
     """WITH e AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 12 HOUR THEN 0 ELSE 1 END AS begins FROM events),
 s AS (SELECT user_id, ts, sum(begins) OVER (PARTITION BY user_id ORDER BY ts) AS nth FROM e) SELECT user_id, min(ts) AS lo, max(ts) + INTERVAL 12 HOUR AS hi, count(*) AS n FROM s GROUP BY user_id, nth""",
 )
+
+
+def _streamed(spark, d, name, plan, mode):
+    """Run a streaming plan over the events once into a table in memory and return that table."""
+    events = spark.readStream.schema(table(spark, d, "events").schema).option("pathGlobFilter", "events.parquet").parquet(d)
+    running = plan(events).writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", f"{shared_dir(spark)}/checkpoint").trigger(availableNow=True).start()
+    running.awaitTermination()
+    return spark.table(name)
+
+
+@query("SELECT date_trunc('day', ts)::TIMESTAMP AS lo, event_type, count(*) AS n FROM events GROUP BY 1, 2")
+def passthrough_watermark(spark, d):
+    """Event-time windows with a watermark over a stream."""
+    plan = lambda e: e.withColumn("at", F.to_timestamp(F.concat(F.col("ts").cast("string"), F.lit("Z")))).withWatermark("at", "1 day").groupBy(F.window("at", "1 day"), "event_type").agg(F.count("*").alias("n"))
+    return _streamed(spark, d, "passthrough_watermark", plan, "complete").select(F.convert_timezone(None, F.lit("UTC"), F.col("window.start").cast("timestamp_ntz")).alias("lo"), "event_type", "n")
+
+
+@query("SELECT user_id, count(*) AS n, max(value) AS top FROM events GROUP BY user_id")
+def passthrough_stateful(spark, d):
+    """State of our own for each key of a stream."""
+    import pandas as pd
+
+    def step(key, batches, state):
+        n, top = state.get if state.exists else (0, float("-inf"))
+        for b in batches:
+            n, top = n + len(b), max(top, b["value"].max())
+        state.update((n, top))
+        yield pd.DataFrame({"user_id": [key[0]], "n": [n], "top": [top]})
+
+    plan = lambda e: e.select("user_id", "value").groupBy("user_id").applyInPandasWithState(step, "user_id long, n long, top double", "n long, top double", "update", "NoTimeout")
+    return _streamed(spark, d, "passthrough_stateful", plan, "update").groupBy("user_id").agg(F.max("n").alias("n"), F.max("top").alias("top"))  # the last state of each
