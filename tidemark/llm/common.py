@@ -142,12 +142,14 @@ class Kept:
         for text in texts:
             fragments = self.split(text)
             found = list(map(known.get, fragments))
-            try:
+            if None not in found:
                 out.append(b"".join(found))
-            except TypeError:  # a fragment that is not known
-                at = [i for i, x in enumerate(found) if x is None]
-                gaps.append((len(out), found, at, [fragments[i] for i in at]))
-                out.append(b"")
+                continue
+            at, i = [], -1  # fragments that are not known
+            for _ in range(found.count(None)):
+                at.append(i := found.index(None, i + 1))
+            gaps.append((len(out), found, at, [fragments[i] for i in at]))
+            out.append(b"")
         new = list(set(chain.from_iterable(g[3] for g in gaps)))
         got = dict(zip(new, self.learn(new), strict=True)) if new else {}
         for k, found, at, fragments in gaps:
