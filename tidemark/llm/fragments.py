@@ -22,7 +22,7 @@ WHITE = "\t-\r \x85\xa0  -     　"
 LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 FRAGMENT = re.compile(f" ?[{LETTERS}]++(?![^{WHITE}.,])| ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
 #: Fragments that a worker keeps.
-KEPT_FRAGMENTS = 450_000
+KEPT_FRAGMENTS = 800_000
 #: Fragments in one string for the library.
 JOINED = 256
 #: UTF-8 bytes in one call of the library.
