@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import json
 import logging
+from collections.abc import Sequence
 from datetime import datetime, timedelta
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -25,36 +27,66 @@ from tidemark.sources import feed as feeds
 
 log = logging.getLogger(__name__)
 DEFAULT_SINCE = datetime(2020, 1, 1)
+#: Rows of whole pages and groups from which on they are committed.
+COMMIT_ROWS = 500_000
+#: Bytes of answers (as Arrow) from which on they go to the spool.
+HELD_BYTES = 8_000_000
 #: Feed fields with each row's place in its batch, by which the later of two equal stamps wins.
 _BATCH = StructType([*FEED.fields, StructField("seq", LongType())])
 
 
-def rows_to_df(spark: SparkSession, rows: list[dict], first: int = 0) -> DataFrame:
+def rows_to_arrow(rows: Sequence[dict]) -> pa.Table:
+    """Text columns of the fields that some row has; an answer that is an Arrow table (``table``) is taken as it is."""
+    if (table := getattr(rows, "table", None)) is not None:
+        return table.cast(pa.schema([(c, pa.string()) for c in table.column_names]))
     text = lambda v: v if v is None or isinstance(v, str) else json.dumps(v)
-    return spark.createDataFrame([(*[text(r.get(f)) for f in (*FEED_FIELDS, CHANGED)], n) for n, r in enumerate(rows, first)], _BATCH)
+    there = set().union(*rows)
+    return pa.table({f: pa.array([text(r.get(f)) for r in rows], pa.string()) for f in (*FEED_FIELDS, CHANGED) if f in there})
 
 
 class Parts:
-    """Rows of one commit, answer by answer: the driver holds about one page of them, the others go to the spool."""
+    """Rows of one commit, answer by answer: the driver holds about ``HELD_BYTES`` of them, the others go to the spool.
+    ``first`` is the place of the first row."""
 
-    def __init__(self, store: SnapshotStore, page_size: int = feeds.PAGE_SIZE):
-        self.store, self.page_size, self.folders, self.held, self.rows = store, page_size, [], [], 0
+    def __init__(self, store: SnapshotStore, first: int = 0):
+        self.store, self.folders, self.held, self.rows = store, [], [], first
 
-    def add(self, rows: list[dict]) -> Parts:
-        if self.held and len(self.held) + len(rows) > self.page_size:
-            self.folders.append(self.store.spool(self._held().coalesce(1)))
-            self.held = []
-        self.held = self.held + rows
+    def add(self, rows: Sequence[dict]) -> Parts:
+        self.held.append(rows_to_arrow(rows))
         self.rows += len(rows)
+        if sum(t.nbytes for t in self.held) > HELD_BYTES:
+            self._flush()
         return self
 
+    def take(self, other: Parts) -> None:
+        """Add all rows of ``other``, whose first place is the next one here."""
+        if other.folders:
+            self._flush()
+        self.folders += other.folders
+        self.held += other.held
+        self.rows, other.folders, other.held = other.rows, [], []
+        if sum(t.nbytes for t in self.held) > HELD_BYTES:
+            self._flush()
+
+    def _flush(self) -> None:
+        if self.held:
+            self.folders.append(self.store.spool(self._held()))
+            self.held = []
+
     def _held(self) -> DataFrame:
-        return rows_to_df(self.store.spark, self.held, self.rows - len(self.held))
+        spark = self.store.spark
+        if not self.held:
+            return spark.createDataFrame([], _BATCH)
+        rows = pa.concat_tables(self.held, promote_options="default")
+        rows = rows.append_column("seq", pa.array(range(self.rows - rows.num_rows, self.rows), pa.int64()))
+        there = spark.createDataFrame(rows)  # fields that no row has are not sent
+        return there.select(*[F.col(f"`{f.name}`") if f.name in rows.column_names else F.lit(None).cast(f.dataType).alias(f.name) for f in _BATCH])
 
     def df(self) -> DataFrame:
         if not self.folders:
             return self._held()
-        return self.store.spark.read.schema(_BATCH).parquet(*self.folders).union(self._held())
+        spooled = self.store.spark.read.schema(_BATCH).parquet(*self.folders)
+        return spooled.union(self._held()) if self.held else spooled
 
     def close(self) -> None:
         self.store.unspool(self.folders)
@@ -101,9 +133,9 @@ def apply_batch(store: SnapshotStore, m: Manifest, feed: DataFrame, dry_run: boo
 
 @feeds.timed("incremental load")
 def incremental(store: SnapshotStore, client, since: datetime | None = None, default_since: datetime = DEFAULT_SINCE, overlap: timedelta = feeds.OVERLAP, page_size: int = feeds.PAGE_SIZE, max_pages: int | None = None, dry_run: bool = False, **options) -> dict:
-    """Read all changes from the high-water mark less ``overlap`` on. Each page, and each drained group as a whole, is
-    one commit with its mark: the greatest stamp of which no row is still to come, so a run that fails anywhere is taken
-    up without a gap, whatever the overlap.
+    """Read all changes from the high-water mark less ``overlap`` on. Whole pages and whole drained groups are committed
+    together once they are ``COMMIT_ROWS``, at the end, and when the feed fails, with their mark: the greatest stamp of
+    which no row is still to come, so a run that fails anywhere is taken up without a gap, whatever the overlap.
 
     ``since`` is used instead of the mark, which is still written; the mark never goes back."""
     m = store.manifest()
@@ -114,25 +146,45 @@ def incremental(store: SnapshotStore, client, since: datetime | None = None, def
             log.info("the feed is %s ahead", top - mark)
     except Exception as e:  # a report only
         log.warning("the feed's newest change is not known: %s", e)
-    total, parts = {"rows": 0, "affected": 0, "commits": 0, "watermark": m.watermark}, Parts(store, page_size)
+    total, parts, group = {"rows": 0, "affected": 0, "commits": 0, "watermark": m.watermark}, Parts(store), Parts(store)
+
+    def commit() -> None:
+        if not parts.rows:
+            return
+        m = store.manifest()
+        done = apply_batch(store, m, parts.df(), dry_run)
+        total["rows"] += done["rows"]
+        total["affected"] += done["affected"]
+        if not dry_run:
+            m.watermark, m.rows_run, m.rows_total = mark and mark.isoformat(timespec="milliseconds"), total["rows"], m.rows_total + done["rows"]
+            store.publish(m)
+            total["commits"] += 1
+            total["watermark"] = m.watermark
+        parts.close()
+        group.rows = 0
+
+    reading = feeds.steps(client, start, page_size, max_pages, keep=group.add, **options)
     try:
-        for batches, whole in feeds.steps(client, start, page_size, max_pages, keep=parts.add, **options):
+        while True:
+            try:
+                step = next(reading, None)
+            except Exception:
+                commit()  # what came whole before
+                raise
+            if step is None:
+                break
+            batches, whole = step
             for rows in batches:
-                if rows is not parts:  # a drained group's are there already
-                    parts.add(rows)
-            m = store.manifest()
-            done = apply_batch(store, m, parts.df(), dry_run)
-            total["rows"] += done["rows"]
-            total["affected"] += done["affected"]
-            if not dry_run:
-                mark = max(filter(None, [mark, whole]), default=None)
-                m.watermark, m.rows_run, m.rows_total = mark and mark.isoformat(timespec="milliseconds"), total["rows"], m.rows_total + done["rows"]
-                store.publish(m)
-                total["commits"] += 1
-                total["watermark"] = m.watermark
-            parts.close()
+                if rows is not group:  # a drained group's are there already
+                    group.add(rows)
+            parts.take(group)
+            mark = max(filter(None, [mark, whole]), default=None)
+            if parts.rows >= COMMIT_ROWS:
+                commit()
+        commit()
     finally:
         parts.close()
+        group.close()
     return total
 
 
@@ -150,13 +202,13 @@ def sweep(store: SnapshotStore, client, start: datetime, end: datetime, width: t
     """Read every row created in [start, end) window by window; finished windows are skipped. One window is one
     commit with its ledger entry, an empty one too. The high-water mark stays."""
     done = _finished(store.manifest(), resweep)
-    total, parts = {"windows": 0, "skipped": 0, "rows": 0, "affected": 0}, Parts(store, page_size)
+    total, parts = {"windows": 0, "skipped": 0, "rows": 0, "affected": 0}, Parts(store)
     try:
         for lo, hi in feeds.sweep_windows(start, end, width):
             if (lo, hi) in done:
                 total["skipped"] += 1
                 continue
-            for *_, rows in feeds.window_rows(client, lo, hi, page_size):
+            for *_, rows in feeds.window_rows(client, lo, hi, page_size, by_key=True):
                 parts.add(rows)
             m = store.manifest()
             got = apply_batch(store, m, parts.df(), dry_run) if parts.rows else {"rows": 0, "affected": 0}

@@ -68,7 +68,8 @@ class SnapshotStore:
         self._jvm = spark.sparkContext._jvm
         self._conf = spark.sparkContext._jsc.hadoopConfiguration()
         self._fs = self._path("").getFileSystem(self._conf)
-        self._fs.mkdirs(self._path("manifest"))
+        for kind in ("manifest", "spool"):
+            self._fs.mkdirs(self._path(kind))
 
     def _path(self, below: str):
         return self._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{below}" if below else self.path)

@@ -15,6 +15,7 @@ from tidemark.operators.store import SnapshotStore
 from tidemark.shared import shared_dir
 from tidemark.sources import feed
 from tidemark.sources.fake import StaleFeed, TableFeed
+from tidemark.sources.staged import StagedFeed
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -465,10 +466,10 @@ _FACT = """SELECT o_orderkey AS "Unique_Key", o_orderdate + INTERVAL 20 YEAR AS
 _SHOWN = ("Unique_Key", "Created_Date", "Agency", "Location_Type", "Status", "Latitude", "lt_id")
 
 
-def _order_feed(spark, d, where: str = "true", changed: str = "date_trunc('year', created)", status: str = "o_orderstatus") -> TableFeed:
-    """A fixture: the feed holds its rows in memory, as a test's feed may."""
-    rows = table(spark, d, "orders").where(where).withColumn("created", F.expr("o_orderdate + INTERVAL 20 YEAR")).selectExpr("cast(o_orderkey AS string)", "created", f"cast({changed} AS timestamp_ntz)", "o_orderpriority", f"{status}", "cast(o_totalprice AS string)")
-    return TableFeed([(k, c, t, {"agency": p, "location_type": p, "status": s, "latitude": x}) for k, c, t, p, s, x in map(tuple, rows.collect())])
+def _order_feed(spark, d, where: str = "true", changed: str = "date_trunc('year', created)", status: str = "o_orderstatus") -> StagedFeed:
+    """The orders as a feed, of which the driver's memory holds a few blocks."""
+    rows = table(spark, d, "orders").where(where).withColumn("created", F.expr("o_orderdate + INTERVAL 20 YEAR"))
+    return StagedFeed(rows.selectExpr("cast(o_orderkey AS string) AS key", "created", f"cast({changed} AS timestamp_ntz) AS changed", "o_orderpriority AS agency", "o_orderpriority AS location_type", f"{status} AS status", "cast(o_totalprice AS string) AS latitude"))
 
 
 _LOAD = {"probes": 1, "sleep": lambda s: None}

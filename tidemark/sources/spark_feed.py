@@ -38,7 +38,7 @@ class FeedReader(DataSourceReader):
 
     def read(self, partition):
         client = make_client(self.options)
-        batches = [undated_rows(client, self.size)] if partition.lo is None else (rows for *_, rows in window_rows(client, partition.lo, partition.hi, self.size))
+        batches = undated_rows(client, self.size) if partition.lo is None else (rows for *_, rows in window_rows(client, partition.lo, partition.hi, self.size, by_key=True))
         for rows in batches:
             for r in rows:
                 yield tuple(None if (v := r.get(f)) is None else v if isinstance(v, str) else _text(v) for f in _NAMES)
