@@ -70,23 +70,15 @@ class Parts:
 
     def _flush(self) -> None:
         if self.held:
-            self.folders.append(self.store.spool(self._held()))
+            rows = pa.concat_tables(self.held, promote_options="default")
+            rows = rows.append_column("seq", pa.array(range(self.rows - rows.num_rows, self.rows), pa.int64()))
+            self.folders.append(self.store.spool_held(rows))
             self.held = []
 
-    def _held(self) -> DataFrame:
-        spark = self.store.spark
-        if not self.held:
-            return spark.createDataFrame([], _BATCH)
-        rows = pa.concat_tables(self.held, promote_options="default")
-        rows = rows.append_column("seq", pa.array(range(self.rows - rows.num_rows, self.rows), pa.int64()))
-        there = spark.createDataFrame(rows)  # fields that no row has are not sent
-        return there.select(*[F.col(f"`{f.name}`") if f.name in rows.column_names else F.lit(None).cast(f.dataType).alias(f.name) for f in _BATCH])
-
     def df(self) -> DataFrame:
-        if not self.folders:
-            return self._held()
-        spooled = self.store.spark.read.schema(_BATCH).parquet(*self.folders)
-        return spooled.union(self._held()) if self.held else spooled
+        self._flush()
+        spark = self.store.spark
+        return spark.read.schema(_BATCH).parquet(*self.folders) if self.folders else spark.createDataFrame([], _BATCH)
 
     def close(self) -> None:
         self.store.unspool(self.folders)

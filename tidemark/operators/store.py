@@ -19,6 +19,8 @@ import json
 from dataclasses import asdict, dataclass, field
 from datetime import datetime
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +33,8 @@ NO_MONTH = "none"
 KEY = "Unique_Key"
 #: Share of the base's rows (and rows at least) that layers may hold, and layers, before they are merged into the base.
 COMPACTED, COMPACTED_ROWS, MAX_LAYERS = 0.1, 100_000, 32
+#: Bytes that go to the JVM at once.
+SENT_BYTES = 250_000
 
 
 @dataclass
@@ -259,6 +263,19 @@ class SnapshotStore:
         rows.write.parquet(f"{self.path}/{folder}")
         return f"{self.path}/{folder}"
 
+    def spool_held(self, rows: pa.Table) -> str:
+        """The same for rows that the driver holds: it writes the file itself, so they are in no job's tasks."""
+        folder, sink = f"spool/{self._jvm.java.util.UUID.randomUUID()}", pa.BufferOutputStream()
+        pq.write_table(rows, sink)
+        made = memoryview(sink.getvalue())
+        out = self._fs.create(self._path(f"{folder}/part-0.parquet"), False)
+        try:
+            for n in range(0, len(made), SENT_BYTES):
+                out.write(bytearray(made[n : n + SENT_BYTES]))
+        finally:
+            out.close()
+        return f"{self.path}/{folder}"
+
     def unspool(self, folders: list[str]) -> None:
         for f in folders:
             self._fs.delete(self._jvm.org.apache.hadoop.fs.Path(f), True)
