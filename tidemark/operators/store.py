@@ -7,7 +7,8 @@ the sweep ledger and the run's counts. Readers open the highest manifest. A vers
 manifest into place, which fails if another writer took the number; what a crashed run wrote before stays unseen.
 
 An upsert reads only parts whose span holds an incoming key and writes only the changed rows, as a new layer; no file
-that is there is rewritten. A row is the one of the last layer that has its key, else the base's; parts that
+that is there is rewritten; new keys too many for a layer become further parts of their months, which hold ``MAX_PARTS``
+at most. A row is the one of the last layer that has its key, else the base's; parts that
 no layer's keys may be in are read as they are. When layers hold over
 ``COMPACTED`` of the base's rows, or are many, the months that they touch are rewritten, and only these. The engine
 sizes files by bytes (adaptive rebalancing), so their number follows the data.
@@ -16,6 +17,7 @@ sizes files by bytes (adaptive rebalancing), so their number follows the data.
 from __future__ import annotations
 
 import json
+from bisect import bisect_left
 from dataclasses import asdict, dataclass, field
 from datetime import datetime
 
@@ -33,6 +35,8 @@ NO_MONTH = "none"
 KEY = "Unique_Key"
 #: Share of the base's rows (and rows at least) that layers may hold, and layers, before they are merged into the base.
 COMPACTED, COMPACTED_ROWS, MAX_LAYERS = 0.1, 100_000, 32
+#: Parts of a month from which on they are merged; ranges by which the keys of an upsert are held against parts.
+MAX_PARTS, SPANS = 8, 4096
 #: Bytes that go to the JVM at once.
 SENT_BYTES = 250_000
 
@@ -171,11 +175,18 @@ class SnapshotStore:
         m.dims[name] = folder
 
     def _holding(self, m: Manifest, keys: DataFrame) -> tuple[list[str], tuple | None]:
-        """Paths of base parts whose span of keys holds one of ``keys``, and the least and greatest of these."""
-        parts = [p for month_parts in m.months.values() for p in month_parts]
-        within = [F.count_if(F.col(KEY).between(p["lo"], p["hi"])).alias(f"p{n}") for n, p in enumerate(parts)]
-        lo, hi, *counts = keys.agg(F.min(KEY), F.max(KEY), *within).first()
-        return [p["path"] for p, n in zip(parts, counts, strict=True) if n], None if lo is None else (lo, hi)
+        """Paths of base parts whose span of keys may hold one of ``keys``, and the least and greatest of these. Keys are
+        summed up by ``SPANS`` equal ranges, so the work does not grow with the parts."""
+        lo, hi = keys.agg(F.min(KEY), F.max(KEY)).first()
+        if lo is None:
+            return [], None
+        if not m.months:
+            return [], (lo, hi)
+        of = F.expr(f"{KEY} div {(hi - lo) // SPANS + 1}L")
+        spans = sorted((r["lo"], r["hi"]) for r in keys.groupBy(of).agg(F.min(KEY).alias("lo"), F.max(KEY).alias("hi")).collect())  # a row for each range
+        ends = [b for _, b in spans]
+        held = lambda p: (n := bisect_left(ends, p["lo"])) < len(spans) and spans[n][0] <= p["hi"]
+        return [p["path"] for parts in m.months.values() for p in parts if held(p)], (lo, hi)
 
     def there(self, m: Manifest, keys: DataFrame) -> DataFrame:
         """Current rows of ``keys``: only parts and row groups whose span may hold one are read."""
@@ -207,36 +218,50 @@ class SnapshotStore:
         A column that ``incoming`` lacks keeps its value."""
         there, over = self._there(m, incoming)
         changed = merge.changes(there, incoming, KEY).cache()  # as many rows as come in
+        most = lambda: max(COMPACTED_ROWS, COMPACTED * m.rows())
         try:
             counts = merge.tally(changed).first().asDict()
-            if n := counts["inserted"] + counts["updated"]:
+            kinds, n = "iu", counts["inserted"] + counts["updated"]
+            if counts["inserted"] > most():  # too many for a layer; no row of the base has their keys
+                self._add(m, as_fact(changed.where("td_kind = 'i'")))
+                kinds, n = "u", counts["updated"]
+            if n:
                 folder = self._folder("layers", m)
-                as_fact(changed.where("td_kind != 's'")).hint("rebalance").sortWithinPartitions(KEY).write.parquet(f"{self.path}/{folder}")
+                as_fact(changed.where(f"instr('{kinds}', td_kind) > 0")).hint("rebalance").sortWithinPartitions(KEY).write.parquet(f"{self.path}/{folder}")
                 m.layers.append({"path": folder, "rows": n, "over": over})
         finally:
             changed.unpersist()
-        if len(m.layers) > MAX_LAYERS or sum(layer["rows"] for layer in m.layers) > max(COMPACTED_ROWS, COMPACTED * m.rows()):
+        if len(m.layers) > MAX_LAYERS or sum(layer["rows"] for layer in m.layers) > most():
             self.compact(m)
+        elif many := {k for k, parts in m.months.items() if len(parts) > MAX_PARTS}:
+            self.compact(m, many)
         return counts
 
-    def compact(self, m: Manifest) -> None:
-        """Merge the layers into the base: months that lose or get a row are rewritten, others stay as they are."""
-        if (latest := self._latest(m)) is None:
+    def compact(self, m: Manifest, also: set[str] = frozenset()) -> None:
+        """Merge the layers into the base: months that lose or get a row, and ``also``, are rewritten into one part,
+        others stay as they are."""
+        touched = set(also)
+        if (latest := self._latest(m)) is not None:
+            paths = sorted({p for layer in m.layers for p in layer["over"]})
+            touched |= {r[0] for r in latest.select(month().alias("m")).distinct().collect()}
+            old = self._read(paths).select(KEY, "Created_Date").join(latest.select(KEY), KEY, "left_semi")
+            touched |= {r[0] for r in old.select(month().alias("m")).distinct().collect()}
+        if not touched:
             return
-        paths = sorted({p for layer in m.layers for p in layer["over"]})
-        touched = {r[0] for r in latest.select(month().alias("m")).distinct().collect()}
-        old = self._read(paths).select(KEY, "Created_Date").join(latest.select(KEY), KEY, "left_semi")
-        touched |= {r[0] for r in old.select(month().alias("m")).distinct().collect()}
         made = self._write_months(self.fact(m, sorted(touched)), m)
         m.months = {k: parts for k, parts in m.months.items() if k not in touched} | made
         m.layers = []
 
+    def _add(self, m: Manifest, rows: DataFrame) -> None:
+        """Rows of keys that are not there, as further parts of their months."""
+        for k, parts in self._write_months(rows, m).items():
+            m.months[k] = [*m.months.get(k, []), *parts]
+
     def append(self, m: Manifest, rows: DataFrame) -> None:
         """Add rows of keys that are not there yet, as further parts of their months."""
         if (m.months or m.layers) and not self.there(m, rows).isEmpty():
             raise EngineError("a key to append is there already")
-        for k, parts in self._write_months(as_fact(rows), m).items():
-            m.months[k] = [*m.months.get(k, []), *parts]
+        self._add(m, as_fact(rows))
 
     def truncate(self, m: Manifest) -> None:
         m.months, m.layers = {}, []
